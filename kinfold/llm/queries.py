@@ -1,10 +1,11 @@
 """The registered queries of this subpackage, and SQL for those that SQL can express."""
 
-from kinfold.llm import decontam, hilbert, rules
+from kinfold.llm import bpe, decontam, hilbert, rules
 
 QUERIES = {
     "op2_decontaminate": decontam.op2_decontaminate,
     "op3_rules": rules.op3_rules,
+    "op8_bpe": bpe.op8_bpe,
     "op9_hilbert": hilbert.op9_hilbert,
 }
 SQL = {
