@@ -1,14 +1,17 @@
 """The registered queries of this subpackage, and SQL for those that SQL can express."""
 
-from kinfold.llm import bpe, decontam, hilbert, rules
+from kinfold.llm import bpe, decontam, hilbert, rules, simhash, substring
 
 QUERIES = {
     "op2_decontaminate": decontam.op2_decontaminate,
     "op3_rules": rules.op3_rules,
+    "op6_substring": substring.op6_substring,
+    "op7_simhash": simhash.op7_simhash,
     "op8_bpe": bpe.op8_bpe,
     "op9_hilbert": hilbert.op9_hilbert,
 }
 SQL = {
     "op2_decontaminate": decontam.SQL,
     "op3_rules": rules.SQL,
+    "op6_substring": substring.SQL,
 }
