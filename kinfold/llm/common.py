@@ -52,3 +52,20 @@ def ascii_lower(text: Column) -> Column:
     """A-Z lowered, every other character unchanged."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     return F.when(text.rlike(r"\A[\x00-\x7F]*+\z"), F.lower(text)).otherwise(F.translate(text, upper, lower))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, limit: int, id_col: str = "doc_id") -> DataFrame:
+    """Training rows: the columns of ``docs`` and ``label``, about ``limit`` rows and never more.
+
+    Only ids that are not held out; ids are taken by hash, so the sample is the same on
+    every run. An id with several labels takes the largest; null ids and labels are left out.
+    The sampled ids are broadcast: at most ``limit`` rows of two numbers.
+    """
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(column).isNotNull() & ~held_out(F.col("doc_id")))
+    known = known.groupBy("doc_id").agg(F.max(column).cast("int").alias("label"))
+    n = known.count()
+    if n > limit:
+        share = int(0.95 * limit / n * (1 << 32))
+        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < share).limit(limit)
+    known = known.withColumnRenamed("doc_id", "_labelled")
+    return docs.join(F.broadcast(known), docs[id_col] == known["_labelled"]).drop("_labelled")

@@ -1,8 +1,9 @@
 """The registered queries of this subpackage, and SQL for those that SQL can express."""
 
-from kinfold.llm import bpe, decontam, hilbert, rules, simhash, substring
+from kinfold.llm import bpe, decontam, hilbert, quality, rules, simhash, substring
 
 QUERIES = {
+    "op1_quality": quality.op1_quality,
     "op2_decontaminate": decontam.op2_decontaminate,
     "op3_rules": rules.op3_rules,
     "op6_substring": substring.op6_substring,
