@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and SQL for those that SQL can express."""
 
-from kinfold.llm import bpe, decontam, hilbert, quality, rules, simhash, substring
+from kinfold.llm import bpe, decontam, hilbert, quality, rules, simhash, substring, toxicity
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -10,6 +10,7 @@ QUERIES = {
     "op7_simhash": simhash.op7_simhash,
     "op8_bpe": bpe.op8_bpe,
     "op9_hilbert": hilbert.op9_hilbert,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 SQL = {
     "op2_decontaminate": decontam.SQL,
