@@ -13,7 +13,7 @@ import hashlib
 import re
 from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
-from itertools import chain, pairwise
+from itertools import accumulate, chain, pairwise
 
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -254,34 +254,40 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", ids_
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, bytes binary")
 
 
-def digests(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def digests(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text",
+            with_ids: bool = False) -> DataFrame:
     """Encodes and decodes each text and returns counts and digests of both directions.
 
-    doc_id, n_tokens, ids_sha256 (decimal ids, comma-joined), decoded_sha256. Null and
+    doc_id, n_tokens, ids_sha256 (decimal ids, comma-joined), decoded_sha256, and the ids
+    themselves if asked for. Null and
     empty texts have no tokens; repeated rows give repeated rows.
     """
     import pyarrow as pa
 
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
 
     def run(batches):
         codec, sha = sent.value.codec(), hashlib.sha256
         for whole in batches:
             for b in _slices(whole):
-                n, coded, back = [], [], []
+                n, coded, back, listed = [], [], [], []
                 for t in b.column(1).to_pylist():
                     ids = codec.encode(t)
                     n.append(len(ids))
+                    if with_ids:
+                        listed.append(pa.array(ids, pa.int32()))
                     coded.append(sha(",".join(map(codec.decimal.__getitem__, ids)).encode()).hexdigest())
                     back.append(sha(codec.decode(ids)).hexdigest())
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(n, pa.int64()), pa.array(coded, pa.string()), pa.array(back, pa.string())],
-                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+                cols = [b.column(0), pa.array(n, pa.int64()), pa.array(coded, pa.string()), pa.array(back, pa.string())]
+                if with_ids:
+                    ends = pa.array([0, *accumulate(n)], pa.int32())
+                    cols.append(pa.ListArray.from_arrays(ends, pa.concat_arrays([*listed, pa.array([], pa.int32())])))
+                yield pa.RecordBatch.from_arrays(cols, names)
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import ascii_lower, table
+from kinfold.llm.common import ascii_lower, materialize, table
 
 SIZE = 13
 #: Windows that may be broadcast; at 13 words each stays below some 10 MB.
@@ -54,7 +54,7 @@ def windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -
 
 def hits(docs: DataFrame, tests: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          set_limit: int = SET_LIMIT) -> DataFrame:
-    """Per document: doc_id, n_words, spans (start, size of each hit window), items (ids, sorted as strings).
+    """Per document: doc_id, text_hash, n_words, spans (start, size of each hit window), items (ids, sorted as strings).
 
     Null and empty texts have no words, hence no hit; so has an item. Repeated rows give
     repeated rows, since rows and not ids are gathered. Empty tables work on either side.
@@ -68,8 +68,8 @@ def hits(docs: DataFrame, tests: DataFrame, id_col: str = "doc_id", text_col: st
             sizes.setdefault(r["size"], []).append(r["hash"])
     else:
         sizes = {r["size"]: [] for r in known}
-    d = docs.select(F.col(id_col).alias("doc_id"), words_of(F.col(text_col)).alias("w"))
-    d = d.select("doc_id", "w", F.size("w").alias("n"))
+    d = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), words_of(F.col(text_col)).alias("w"))
+    d = d.select("doc_id", "text_hash", "w", F.size("w").alias("n"))
     w, found = F.col("w"), []
     for size, hashes in sorted(sizes.items()):
         places = F.when(F.col("n") >= size, F.sequence(F.lit(0), F.col("n") - size)).otherwise(F.array().cast("array<int>"))
@@ -78,7 +78,7 @@ def hits(docs: DataFrame, tests: DataFrame, id_col: str = "doc_id", text_col: st
         found.append(F.transform(places, _with_size(size)))
     none = F.array().cast("array<struct<start:int,size:int>>")
     d = d.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", "w", F.col("n").cast("long").alias("n_words"),
+        F.monotonically_increasing_id().alias("row"), "doc_id", "text_hash", "w", F.col("n").cast("long").alias("n_words"),
         (F.concat(*found) if found else none).alias("f"),
     )
     # the words themselves are not exploded: each place takes its own window along
@@ -89,13 +89,13 @@ def hits(docs: DataFrame, tests: DataFrame, id_col: str = "doc_id", text_col: st
             F.array_join(F.slice(w, x["start"] + 1, x["size"]), " ").alias("window"),
         ),
     )
-    d = d.select("row", "doc_id", "n_words", F.explode_outer(look).alias("x"))
-    d = d.select("row", "doc_id", "n_words", "x.start", "x.size", "x.window")
+    d = d.select("row", "doc_id", "text_hash", "n_words", F.explode_outer(look).alias("x"))
+    d = d.select("row", "doc_id", "text_hash", "n_words", "x.start", "x.size", "x.window")
     tests = tests.select("window", F.col("item_id").cast("string").alias("item"))
     d = d.join(F.broadcast(tests) if native_set else tests, "window", "left")
     span = F.when(F.col("item").isNotNull(), F.struct("start", "size"))
     out = d.groupBy("row").agg(
-        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
+        F.first("doc_id").alias("doc_id"), F.first("text_hash").alias("text_hash"), F.first("n_words").alias("n_words"),
         F.array_sort(F.collect_set(span)).alias("spans"), F.array_sort(F.collect_set("item")).alias("items"),
     )
     return out.drop("row")
@@ -113,18 +113,31 @@ def n_covered(spans: Column) -> Column:
 
 def report(found: DataFrame) -> DataFrame:
     """Counts, digest and verdict of ``hits``: contaminated if a twentieth of the words are hit."""
-    t = found.select("doc_id", "n_words", n_covered(F.col("spans")).alias("n_hit"), "items")
+    t = found.select("doc_id", "text_hash", "n_words", n_covered(F.col("spans")).alias("n_hit"), "items")
     return t.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"), "text_hash",
     )
 
 
 def op2_decontaminate(spark, sf_dir: str) -> DataFrame:
     """All ``documents`` against all of ``benchmark``."""
     tests = windows(table(spark, sf_dir, "benchmark"))
-    return report(hits(table(spark, sf_dir, "documents"), tests))
+    return report(hits(table(spark, sf_dir, "documents"), tests)).drop("text_hash")
+
+
+#: Contaminated rows whose keys (two numbers each) may be broadcast.
+KEY_LIMIT = 500_000
+
+
+def clean(docs: DataFrame, tests: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, all columns as they were."""
+    bad = materialize(report(hits(docs, tests, id_col, text_col)).where("contaminated").select("doc_id", "text_hash"), "contaminated")
+    bad = bad.toDF("_id", "_hash")
+    if bad.count() <= KEY_LIMIT:
+        bad = F.broadcast(bad)
+    return docs.join(bad, docs[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text_col]) == F.col("_hash")), "left_anti")
 
 
 def _sql_words(column: str) -> str:

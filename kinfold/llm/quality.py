@@ -224,6 +224,20 @@ def classify(docs: DataFrame, model: Additive, id_col: str = "doc_id", text_col:
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
 
 
+def keep_good(docs: DataFrame, model: Additive, text_col: str = "text", cut: float = 0.5) -> DataFrame:
+    """The rows whose score reaches ``cut``, all columns as they were; no shuffle."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    sent, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array(sent.value.score(measured(pc.fill_null(b.column(at), ""))) >= cut))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` scored by a model fitted on the labels that are not held out."""
     docs = table(spark, sf_dir, "documents")

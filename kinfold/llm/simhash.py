@@ -58,16 +58,16 @@ def _majority(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) per row; fp holds the 64 bits as a signed long. Null and empty: 0."""
+    """(doc_id, fp, text_hash) per row; fp holds the 64 bits as a signed long. Null and empty: 0."""
     import pyarrow as pa
 
     def run(batches):
         for b in batches:
             fp = np.array([fingerprint(t.as_py()) for t in b.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), b.column(2)], ["doc_id", "fp", "text_hash"])
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long, text_hash long")
 
 
 def plan_blocks(n: int, radius: int = RADIUS) -> tuple[int, int]:
@@ -231,7 +231,7 @@ def links(prints: DataFrame, radius: int = RADIUS, blocks: tuple[int, int] | Non
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text",
                     blocks: tuple[int, int] | None = None) -> DataFrame:
-    """doc_id, fingerprint (hex), component_id (the least doc_id reachable over links).
+    """doc_id, fingerprint (hex), component_id (the least doc_id reachable over links), root, text_hash.
 
     Fingerprint links at ``radius`` or fewer differing bits. Texts without words share the
     fingerprint zero and are linked; repeated rows repeat; an empty table gives no rows. A
@@ -246,11 +246,23 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id
     )
     least = materialize(least, "classes")
     names = least.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = least.join(names, "root").select("fp", "component_id")
+    named = least.join(names, "root").select("fp", "component_id", "root")
     out = prints.join(named, "fp")
-    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "root", "text_hash")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents``: fingerprints and components."""
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("root", "text_hash")
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component, the one with the least id; all columns as they were."""
+    found = materialize(near_duplicates(docs, id_col=id_col, text_col=text_col), "components")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
+    best = found.groupBy("root").agg(F.min(order).alias("x")).select(F.col("x.doc_id").alias("_id"), F.col("x.text_hash").alias("_hash"))
+    same = docs[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text_col]) == F.col("_hash"))
+    out = docs.join(best, same, "left_semi")
+    if not found.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
+        out = out.dropDuplicates([id_col, text_col])  # rows that repeat as a whole
+    return out

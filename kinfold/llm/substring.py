@@ -302,6 +302,17 @@ def spans(rows: DataFrame, shard: int = SHARD) -> DataFrame:
     return whole.unionByName(alone).unionByName(_by_windows(texts.join(crowded, "h", "left_semi")))
 
 
+def _kept(text: str, gone) -> tuple[int, list[bytes]]:
+    """How many words a text has, and those outside the spans."""
+    words = text.encode("utf-8", "surrogatepass").split()
+    out, at = [], 0
+    for start, end in sorted((g["start"], g["end"]) for g in gone or ()):
+        if start > at:
+            out += words[at:start]
+        at = max(at, end)
+    return len(words), out + words[at:]
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard: int = SHARD) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the other words joined by one blank) per row.
 
@@ -312,21 +323,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     import pyarrow as pa
 
     rows = _keyed(docs, id_col, text_col)
-    gone = spans(rows, shard).groupBy("rid").agg(F.collect_set(F.struct("start", "end")).alias("gone"))
+    gone = _gone(rows, shard)
 
     def run(batches):
         for b in batches:
             n, removed, kept = [], [], []
             for text, gone in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                words = text.encode("utf-8", "surrogatepass").split()
-                out, at = [], 0
-                for g in sorted((g["start"], g["end"]) for g in gone or ()):
-                    if g[0] > at:
-                        out += words[at : g[0]]
-                    at = max(at, g[1])
-                out += words[at:]
-                n.append(len(words))
-                removed.append(len(words) - len(out))
+                total, out = _kept(text, gone)
+                n.append(total)
+                removed.append(total - len(out))
                 kept.append(b" ".join(out))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
@@ -337,6 +342,38 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
 
 
+def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars", shard: int = SHARD) -> DataFrame:
+    """``docs`` with repeated windows cut out of the text, and the count of its characters renewed.
+
+    Texts that lose nothing stay as they are; all other columns do, too.
+    """
+    import pyarrow as pa
+
+    gone = _gone(_keyed(docs, id_col, text_col), shard)
+    names, at = docs.columns, docs.columns.index(text_col)
+    chars = names.index(chars_col) if chars_col in names else None
+    rid = F.xxhash64(docs[id_col], F.coalesce(docs[text_col], F.lit("")))
+    flat = docs.select(rid.alias("rid"), *[docs[c].alias(f"c{k}") for k, c in enumerate(names)])
+    joined = flat.join(gone, "rid", "left").select("gone", *[f"c{k}" for k in range(len(names))])
+
+    def run(batches):
+        for b in batches:
+            cols = list(b.columns[1:])
+            texts, gone = cols[at].to_pylist(), b.column(0).to_pylist()
+            texts = [b" ".join(_kept(t, g)[1]).decode("utf-8", "surrogatepass") if g else t for t, g in zip(texts, gone, strict=True)]
+            cols[at] = pa.array(texts, cols[at].type)
+            if chars is not None:
+                n = zip(cols[chars].to_pylist(), texts, gone, strict=True)
+                cols[chars] = pa.array([len(t) if g else k for k, t, g in n], cols[chars].type)
+            yield pa.RecordBatch.from_arrays(cols, names)
+
+    return joined.mapInArrow(run, docs.schema)
+
+
+def _gone(rows: DataFrame, shard: int) -> DataFrame:
+    return spans(rows, shard).groupBy("rid").agg(F.collect_set(F.struct("start", "end")).alias("gone"))
+
+
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` without the 50-word windows of earlier ones."""
     out = remove_repeats(table(spark, sf_dir, "documents"))
