@@ -1,11 +1,13 @@
 """The registered queries of this subpackage, and SQL for those that SQL can express."""
 
-from kinfold.llm import bpe, decontam, hilbert, quality, rules, simhash, substring, toxicity
+from kinfold.llm import bpe, decontam, hilbert, html, quality, rules, simhash, substring, tokencount, toxicity
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
     "op2_decontaminate": decontam.op2_decontaminate,
     "op3_rules": rules.op3_rules,
+    "op4_html": html.op4_html,
+    "op5_token_counts": tokencount.op5_token_counts,
     "op6_substring": substring.op6_substring,
     "op7_simhash": simhash.op7_simhash,
     "op8_bpe": bpe.op8_bpe,
