@@ -25,14 +25,11 @@ from kinfold.llm.common import table
 #: Vocabularies above this many tokens are refused: what is broadcast stays small.
 MAX_VOCABULARY = 1_000_000
 #: Remembered pieces of a worker; only speed depends on it.
-MEMO = 400_000
-_MIX, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
+MEMO = 1_000_000
 
 
 def _slot(h: int, d: int, n: int) -> int:
-    x = (h ^ (d * _MIX)) & _MASK
-    x = ((x ^ (x >> 31)) * 0xBF58476D1CE4E5B9) & _MASK
-    return (x ^ (x >> 29)) % n
+    return ((h >> 34) + d * (h & 0xFFFFFFF | 1)) % n
 
 
 class PerfectHash:
@@ -176,7 +173,17 @@ class _Memo(dict):
         self.codec = codec
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        got = self[piece] = self.codec.chunk(" " + piece)
+        codec = self.codec
+        if piece.isalpha():
+            got = codec.piece((" " + piece).encode())
+        else:
+            first, *rest = codec.split(" " + piece)
+            word = first[1:]
+            # a word with marks after it shares the word's own entry
+            got = self[word] if rest and word.isalpha() else codec.piece(first.encode("utf-8", "surrogatepass"))
+            for t in rest:
+                got += codec.piece(t.encode("utf-8", "surrogatepass"))
+        self[piece] = got
         return got
 
 
@@ -211,9 +218,11 @@ def default_vocabulary() -> Vocabulary:
 
 def _slices(batch) -> Iterator:
     """An Arrow batch in pieces of bounded text, so that ids of long texts never pile up."""
+    import pyarrow.compute as pc
+
     start, size = 0, 0
-    for i, n in enumerate(batch.column(1)):
-        size += len(n.as_py() or "") + 100
+    for i, n in enumerate(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()):
+        size += n + 100
         if size > 1_000_000:
             yield batch.slice(start, i + 1 - start)
             start, size = i + 1, 0
