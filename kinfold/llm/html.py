@@ -240,10 +240,10 @@ def render(root: Node) -> str:
                 box.end(True)
         if tag in BLOCK:
             box.end()
-            box.gap |= tag in SPACED and not (lists and tag not in ("ul", "ol", "menu", "dir"))
-        if tag in ("ul", "ol", "menu", "dir"):
-            lists.pop()
-        elif tag == "li":
+            if tag in ("ul", "ol", "menu", "dir"):
+                lists.pop()
+            box.gap |= tag in SPACED and not lists
+        if tag == "li":
             box.indent -= x.attrs["width"]
             box.marker = ""
         elif tag in ("blockquote", "dd"):
