@@ -25,11 +25,15 @@ from kinfold.llm.common import table
 #: Vocabularies above this many tokens are refused: what is broadcast stays small.
 MAX_VOCABULARY = 1_000_000
 #: Remembered pieces of a worker; only speed depends on it.
-MEMO = 1_000_000
+MEMO = 600_000
+
+
+_MASK = (1 << 64) - 1
 
 
 def _slot(h: int, d: int, n: int) -> int:
-    return ((h >> 34) + d * (h & 0xFFFFFFF | 1)) % n
+    # every displacement scatters anew; a mere step of d could miss the free slots for ever
+    return (((h ^ d * 0x9E3779B97F4A7C15) * 0xBF58476D1CE4E5B9 & _MASK) >> 32) % n
 
 
 class PerfectHash:
