@@ -56,8 +56,8 @@ def minhash(c: Column, hashes: int = HASHES, seed: int = 0) -> Column:
     """Signature as array<bigint>: per slot the least of the trigrams' hashes XOR the slot's constant.
 
     A trigram's hash is the first 32 bits of its MD5. All slots of a text are one array
-    operation in an Arrow function; as nested lambdas the same takes some hundred times as
-    long, because Spark interprets them element by element.
+    operation in an Arrow function; nested lambdas are slower, because Spark interprets
+    them element by element.
     """
     slots = np.array([(i * 2654435761) & 0xFFFFFFFF for i in range(hashes)], np.uint32)
 
