@@ -22,7 +22,7 @@ def test_base_normalize(spark):
 
 
 def test_long_acronyms(spark):
-    assert one(spark, base_normalize, "a.b.", "x.a.b.", "ab.c.", "a.b.c") == ["ab", "xab", "ab.c.", "ab.c"]
+    assert one(spark, base_normalize, "a.b.", "x.a.b.", "ab.c.", "a.b.c") == ["ab", "xab", "ab.c.", "abc"]
 
 
 def test_fold_agrees_with_unicode_tables(spark):
@@ -40,7 +40,7 @@ def test_remove_punct(spark):
 
 
 def test_translit(spark):
-    cases = {"bazaar": "bazar", "galli": "gali", "chowk": "cok", "sharmaah": "sarma", "12345": "12345", "ab": "ab", "mohalla": "mohala", "phool": "ful", "city": "citi"}
+    cases = {"bazaar": "bazar", "galli": "gali", "chowk": "cok", "sharmaah": "sarmah", "12345": "12345", "ab": "ab", "mohalla": "mohala", "phool": "ful", "city": "citi"}
     assert one(spark, translit, *cases) == list(cases.values())
 
 
