@@ -82,13 +82,14 @@ class Channel:
         low, out = text.lower(), []
         run = 0
         spaced = re.fullmatch(r"(?:.[ .\-_*])+.", text) is not None
+        thrice = set(re.findall(r"(.)\1\1", low))
         for i, ch in enumerate(low):
             run = run + 1 if i and low[i - 1] == ch else 1
             if spaced and ch in " .-_*":
                 out.append([("", 0.0), (" ", BREAK_COST)])
             elif ch in LOOKS:
                 out.append([(x, SWAP_COST) for x in LOOKS[ch]] + ([("", DROP_COST)] if run > 1 else []))
-            elif run > 1 and (low[i : i + 1] * 3 in low):
+            elif run > 1 and ch in thrice:
                 out.append([(ch, 0.0), ("", DROP_COST)])
             else:
                 out.append([(ch, 0.0)])
@@ -99,20 +100,26 @@ class Channel:
         got = self.known.get(text)
         if got is None:
             code = lambda x: int(_CODE[ord(x)]) if ord(x) < 128 else 27
-            states = {(0, 0): (0.0, "")}
+            # per last two characters the cost and the way there: (way, character) pairs
+            states: dict = {(0, 0): (0.0, None)}
             for readings in self.lattice(text):
                 after: dict = {}
-                for (a, b), (cost, read) in states.items():
+                for (a, b), (cost, way) in states.items():
                     for x, extra in readings:
                         key = (b, code(x)) if x else (a, b)
                         total = cost + extra + (float(self.cost[a, b, key[1]]) if x else 0.0)
-                        if key not in after or (total, read + x) < after[key]:
-                            after[key] = (total, read + x)
+                        if key not in after or total < after[key][0]:
+                            after[key] = (total, (way, x) if x else way)
                 states = after
-            got = min((cost + float(self.cost[a, b, 0]), read) for (a, b), (cost, read) in states.items())[1]
+            way, back = min(((cost + float(self.cost[a, b, 0]), (a, b), way) for (a, b), (cost, way) in states.items()), key=lambda s: s[:2])[2], []
+            while way:
+                way, x = way
+                back.append(x)
+            got = "".join(reversed(back))
             if len(self.known) > 100_000:
                 self.known.clear()
-            self.known[text] = got
+            if len(text) < 100:
+                self.known[text] = got
         return got
 
     def restore(self, text: str) -> str:
