@@ -137,7 +137,7 @@ def clean(docs: DataFrame, tests: DataFrame, id_col: str = "doc_id", text_col: s
     bad = bad.toDF("_id", "_hash")
     if bad.count() <= KEY_LIMIT:
         bad = F.broadcast(bad)
-    return docs.join(bad, docs[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text_col]) == F.col("_hash")), "left_anti")
+    return docs.join(bad, docs[id_col].eqNullSafe(bad["_id"]) & (F.xxhash64(docs[text_col]) == bad["_hash"]), "left_anti")
 
 
 def _sql_words(column: str) -> str:

@@ -261,7 +261,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     found = materialize(near_duplicates(docs, id_col=id_col, text_col=text_col), "components")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
     best = found.groupBy("root").agg(F.min(order).alias("x")).select(F.col("x.doc_id").alias("_id"), F.col("x.text_hash").alias("_hash"))
-    same = docs[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text_col]) == F.col("_hash"))
+    same = docs[id_col].eqNullSafe(best["_id"]) & (F.xxhash64(docs[text_col]) == best["_hash"])
     out = docs.join(best, same, "left_semi")
     if not found.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
         out = out.dropDuplicates([id_col, text_col])  # rows that repeat as a whole

@@ -23,7 +23,8 @@ AWKWARD = [
     (8, f"c {PASSAGE} d"), (9, f"a {PASSAGE} b"), (None, f"e {PASSAGE} f"), (None, None), (9, "another text"), (10, "ünï  co de 日本 'll 😀"),
     (11, "\x00 odd \x01 bytes"),
 ]
-CLASH = ("n_words", "score", "words", "w", "t", "h", "rid", "doc", "gone", "fp", "root", "predicted", "row", "label", "ids", "_at", "rank", "bits")
+CLASH = ("n_words", "score", "words", "w", "t", "h", "rid", "doc", "gone", "fp", "root", "predicted", "row", "label", "ids", "_at", "rank", "bits",
+         "_id", "_hash", "_labelled", "at", "parts", "crowded", "least", "key", "component_id", "window", "item", "size")
 
 
 @pytest.fixture(scope="module")
