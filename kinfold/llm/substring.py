@@ -224,10 +224,10 @@ def _matched(shard: list[tuple], size: int = SIZE) -> list[tuple]:
 
 
 def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(h, doc, rid, at, words) of the wanted chunks: each text is cut where it stands."""
+    """(h, doc, rid, at, words, crowded) of the wanted chunks: each text is cut where it stands."""
     import pyarrow as pa
 
-    parts = wanted.groupBy("rid").agg(F.collect_set(F.struct("at", "n", "h")).alias("parts"))
+    parts = wanted.groupBy("rid").agg(F.collect_set(F.struct("at", "n", "h", "crowded")).alias("parts"))
 
     def run(batches):
         for b in batches:
@@ -235,13 +235,14 @@ def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
             for rid, doc, text, parts in zip(*[b.column(k).to_pylist() for k in range(4)], strict=True):
                 words = text.encode("utf-8", "surrogatepass").split()
                 for p in parts:
-                    got.append((p["h"], doc, rid, p["at"], b" ".join(words[p["at"] : p["at"] + p["n"] + SIZE - 1])))
-            cols = list(zip(*got, strict=True)) or [()] * 5
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["h", "doc", "rid", "at", "words"])
+                    got.append((p["h"], doc, rid, p["at"], b" ".join(words[p["at"] : p["at"] + p["n"] + SIZE - 1]), p["crowded"]))
+            cols = list(zip(*got, strict=True)) or [()] * 6
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_()]
+            names = ["h", "doc", "rid", "at", "words", "crowded"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
     return rows.join(parts, "rid").select("rid", "doc", "text", "parts").mapInArrow(
-        run, "h long, doc long, rid long, at int, words binary"
+        run, "h long, doc long, rid long, at int, words binary, crowded boolean"
     )
 
 
@@ -249,7 +250,7 @@ def _by_automata(texts: DataFrame) -> DataFrame:
     """(rid, start, end) from shards, each of one minimizer."""
     import pyarrow as pa
 
-    dealt = texts.distinct().repartition("h").sortWithinPartitions("h", F.col("doc").asc_nulls_last(), "rid", "at")
+    dealt = texts.drop("crowded").distinct().repartition("h").sortWithinPartitions("h", F.col("doc").asc_nulls_last(), "rid", "at")
 
     def run(batches):
         shard, key = [], None
@@ -296,10 +297,10 @@ def spans(rows: DataFrame, shard: int = SHARD) -> DataFrame:
     later = F.col("least").isNotNull() & (F.col("doc").isNull() | (F.col("least") < F.col("doc")))
     whole = flagged.where(later).select("rid", F.col("at").alias("start"), (F.col("at") + F.col("n") + SIZE - 1).alias("end"))
     rest = flagged.where(~later & F.col("texts").isNotNull())
-    texts = materialize(_texts(rows, rest.select("rid", "at", "n", "h")), "texts")
-    crowded = many.where(F.col("texts") > shard).select("h")
-    alone = _by_automata(texts.join(crowded, "h", "left_anti"))
-    return whole.unionByName(alone).unionByName(_by_windows(texts.join(crowded, "h", "left_semi")))
+    # the flag travels with each chunk: no join on minimizers, of which one may have very many chunks
+    rest = rest.select("rid", "at", "n", "h", (F.col("texts") > shard).alias("crowded"))
+    texts = materialize(_texts(rows, rest), "texts")
+    return whole.unionByName(_by_automata(texts.where("not crowded"))).unionByName(_by_windows(texts.where("crowded")))
 
 
 def _kept(text: str, gone) -> tuple[int, list[bytes]]:
