@@ -24,8 +24,8 @@ from kinfold.llm.common import table
 
 #: Vocabularies above this many tokens are refused: what is broadcast stays small.
 MAX_VOCABULARY = 1_000_000
-#: Remembered pieces of a worker; only speed depends on it.
-MEMO = 600_000
+#: Remembered pieces of a worker, in two halves; only speed and memory depend on it.
+MEMO = 300_000
 
 
 _MASK = (1 << 64) - 1
@@ -153,15 +153,12 @@ class Codec:
         """Ids of a whole text; null is empty."""
         if not text:
             return []
-        memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
         if text[0] == " " or text[-1] == " " or _TWO_BLANKS(text):
             first, *rest = _CUT.split(text)
         else:
             first, *rest = text.split(" ")
         ids = list(self.chunk(first))
-        ids.extend(chain.from_iterable(map(memo.__getitem__, rest)))
+        ids.extend(chain.from_iterable(map(self.memo.__getitem__, rest)))
         return ids
 
     def decode(self, ids: Iterable[int]) -> bytes:
@@ -170,15 +167,24 @@ class Codec:
 
 
 class _Memo(dict):
-    """Ids of pieces that follow a blank."""
+    """Ids of pieces that follow a blank.
+
+    A full half becomes the older one, and the pieces used again move over from it; so
+    frequent words stay, and even one endless text leaves no more than ``MEMO`` entries.
+    """
 
     def __init__(self, codec: Codec):
         super().__init__()
-        self.codec = codec
+        self.codec, self.older = codec, {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
         codec = self.codec
-        if piece.isalpha():
+        if len(self) >= MEMO // 2:
+            self.older = dict(self)
+            self.clear()
+        if (got := self.older.get(piece)) is not None:
+            pass
+        elif piece.isalpha():
             got = codec.piece((" " + piece).encode())
         else:
             first, *rest = codec.split(" " + piece)
