@@ -1,9 +1,10 @@
 """Toxicity scores behind a noisy-channel deobfuscation.
 
 Writers hide words by look-alike characters (``1d10t``), spacing (``i d i o t``) and
-repetition (``idiooot``). A suspicious stretch becomes a lattice of characters that may
-have been meant; Viterbi decoding under a character trigram model, counted over all
-documents, picks the likeliest reading. The restored text is then scored by a logistic
+repetition (``idiooot``). Every word with a look-alike or a repeated letter, and every
+run of single letters, becomes a lattice of characters that may
+have been meant, the written ones among them; Viterbi decoding under a character trigram
+model, counted over all documents, picks the likeliest reading. The restored text is then scored by a logistic
 model over words, beginnings of words and how many different words share a beginning.
 Stretches without such marks have a lattice of one path, so they are left as they are.
 """
@@ -26,22 +27,24 @@ CUT = 0.7
 #: What a character may stand for, with the channel's cost of writing it so.
 LOOKS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "+": "t", "|": "il"}
 SWAP_COST, DROP_COST, BREAK_COST = 1.0, 0.5, 1.0
+#: A look-alike may stand for itself, and one of two equal letters may be too many; both are unlikely in a disguise.
+#: Signs without any letter are likelier a number than a word.
+KEEP_COST, DOUBLE_COST, NUMBER_COST = 8.0, 6.0, 10.0
 #: Symbols of the character model: 0 for anything that is no letter, 1-26, 27 beyond ASCII.
 ALPHABET = 28
 _CODE = np.zeros(256, np.int32)
 _CODE[97:123] = _CODE[65:91] = np.arange(1, 27)
 _CODE[128:] = 27
-_LETTER = r"[A-Za-z]"
-_LOOK = "[" + re.escape("".join(LOOKS)) + "]"
+_SIGNS = re.escape("".join(LOOKS))
+#: What a word in disguise is made of: letters of any script and look-alikes.
+_CHAR = rf"[A-Za-z\u0080-\U0010ffff{_SIGNS}]"
 _SUSPECT = re.compile(
-    # single letters or look-alikes, one separator between each
-    rf"(?<![^\s])(?:(?:{_LETTER}|{_LOOK})[ .\-_*]){{3,}}(?:{_LETTER}|{_LOOK})(?![^\s.,;:?])"
-    # a look-alike before or between letters, or one or two at the end
-    rf"|(?<![^\s\"'(])(?:{_LETTER}+|(?:{_LOOK}{{1,2}}){_LETTER}+)(?:{_LOOK}{{1,2}}{_LETTER}+)+(?:[@$]{{1,2}})?(?![^\s.,;:?!\"')])"
-    rf"|(?<![^\s\"'(])[0134579@$]{{1,2}}{_LETTER}{{2,}}(?![^\s.,;:?!\"')])"
-    # three or more of one letter
-    rf"|(?<![^\s\"'(])(?={_LETTER}*?({_LETTER})\1\1){_LETTER}+(?![^\s.,;:?!\"')])"
+    # single letters or look-alikes, one or more separators between each
+    rf"(?<![^\W_])(?:{_CHAR}[ .\-_*]+){{2,}}{_CHAR}(?![^\W_])"
+    # whole words with a look-alike or a repeated letter, whatever stands round them
+    rf"|(?<!{_CHAR})(?=[A-Za-z\u0080-\U0010ffff]*?(?:[{_SIGNS}]|(?i:([A-Za-z\u0080-\U0010ffff])\1))){_CHAR}{{2,}}"
 )
+_SPACED = re.compile(rf"(?:{_CHAR}[ .\-_*]+)+{_CHAR}")
 _PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _STEM = 4
 
@@ -77,37 +80,58 @@ class Channel:
         self.cost = -np.log(c / c.sum(axis=2, keepdims=True))
         self.known: dict[str, str] = {}
 
-    def lattice(self, text: str) -> list[list[tuple[str, float]]]:
-        """Per place the readings and their costs; an empty reading drops the character."""
-        low, out = text.lower(), []
-        run = 0
-        spaced = re.fullmatch(r"(?:.[ .\-_*])+.", text) is not None
-        thrice = set(re.findall(r"(.)\1\1", low))
-        for i, ch in enumerate(low):
-            run = run + 1 if i and low[i - 1] == ch else 1
-            if spaced and ch in " .-_*":
-                out.append([("", 0.0), (" ", BREAK_COST)])
+    def lattice(self, text: str) -> list[list[tuple[str | None, float]]]:
+        """Per place the readings and their costs: None drops a character that repeats a letter, '' a gap."""
+        low = [c.lower() if len(c.lower()) == 1 else c for c in text]
+        spaced = _SPACED.fullmatch(text) is not None
+        gaps = [len(g) for g in re.findall(r"[ .\-_*]+", text)] if spaced else []
+        narrow = min(gaps, default=0)
+        units = [c for c in low if c not in " .-_*"] if spaced else low
+        means = [LOOKS.get(c, c) for c in units]
+        # how many characters of one meaning stand together, and the place in their run
+        alike = [i > 0 and bool({*means[i]} & {*means[i - 1]}) for i in range(len(units))]
+        place, length = [1] * len(units), [1] * len(units)
+        for i in range(1, len(units)):
+            place[i] = place[i - 1] + 1 if alike[i] else 1
+        for i in reversed(range(len(units))):
+            length[i] = length[i + 1] if i + 1 < len(units) and alike[i + 1] else place[i]
+        last = max((i for i, c in enumerate(units) if c.isalnum()), default=-1)
+        letters = [i for i, c in enumerate(units) if c.isalpha()]
+        first, final = (letters[0], letters[-1]) if letters else (len(units), -1)
+        out: list[list[tuple[str | None, float]]] = []
+        for i, ch in enumerate(units):
+            if spaced and i:
+                wide = gaps[i - 1] > narrow  # a wider gap than the others ends a word
+                out.append([("", BREAK_COST), (" ", 0.0)] if wide else [("", 0.0), (" ", BREAK_COST)])
+            drop = [(None, DROP_COST if length[i] > 2 else DOUBLE_COST)] if place[i] > 1 else []
+            if i > last and ch == "!":
+                out.append([(ch, 0.0)])
             elif ch in LOOKS:
-                out.append([(x, SWAP_COST) for x in LOOKS[ch]] + ([("", DROP_COST)] if run > 1 else []))
-            elif run > 1 and ch in thrice:
-                out.append([(ch, 0.0), ("", DROP_COST)])
+                # numbers, and rows of marks behind a word, stay for nothing; between letters none stays
+                free = not letters or (i > last and length[i] > 2)
+                keep = [(ch, 0.0 if free else KEEP_COST)] if not first < i < final else []
+                swap = SWAP_COST + (0.0 if letters else NUMBER_COST)
+                out.append([(x, swap) for x in LOOKS[ch]] + keep + drop)
             else:
-                out.append([(ch, 0.0)])
+                out.append([(ch, 0.0), *drop])
         return out
 
     def decode(self, text: str) -> str:
         """The likeliest reading of a stretch, by Viterbi over the last two characters."""
         got = self.known.get(text)
         if got is None:
-            code = lambda x: int(_CODE[ord(x)]) if ord(x) < 128 else 27
             # per last two characters the cost and the way there: (way, character) pairs
             states: dict = {(0, 0): (0.0, None)}
             for readings in self.lattice(text):
                 after: dict = {}
                 for (a, b), (cost, way) in states.items():
                     for x, extra in readings:
-                        key = (b, code(x)) if x else (a, b)
-                        total = cost + extra + (float(self.cost[a, b, key[1]]) if x else 0.0)
+                        if x is None and not b:  # signs that stay are not dropped
+                            continue
+                        key, total = (a, b), cost + extra
+                        for c in (x or "").encode("utf-8", "surrogatepass"):  # the model counts bytes
+                            at = int(_CODE[c])
+                            key, total = (key[1], at), total + float(self.cost[key[0], key[1], at])
                         if key not in after or total < after[key][0]:
                             after[key] = (total, (way, x) if x else way)
                 states = after
@@ -116,6 +140,7 @@ class Channel:
                 way, x = way
                 back.append(x)
             got = "".join(reversed(back))
+            got = text if got == text.lower() else got
             if len(self.known) > 100_000:
                 self.known.clear()
             if len(text) < 100:

@@ -498,6 +498,20 @@ def test_deobfuscation(spark, docs):
     assert channel.words(None) == set()
 
 
+def test_deobfuscation_of_ordinary_disguises(spark):
+    plain = "you asshole loser losers garbage worthless idiot stupid clown scum imbécile crétin ass the good coffee and all ends clown$$$ ends*** "
+    channel = toxicity.Channel(toxicity.trigram_counts(spark.createDataFrame([(plain,)] * 200, "text string")))
+    cases = {
+        "assh0l3": "asshole", "l0s3r5": "losers", "garbag3": "garbage", "w0rthle55": "worthless", "idi000t": "idiot", "1d1000t": "idiot",
+        "(i d i o t)": "(idiot)", "'s c u m'": "'scum'", "s c u m!": "scum!", "a s s": "ass", "i  d  i  o  t": "idiot", "y o u  i d i o t": "you idiot",
+        "cl0wn#": "clown#", "cl0wn###": "clown###", "clownnn5": "clown", "imbécil3": "imbécile", "crét1n": "crétin", "idioot": "idiot", "!d!ot": "idiot",
+    }
+    for hidden, want in cases.items():
+        assert want in channel.restore(f"the {hidden} and"), hidden
+    for same in ("the good coffee, all 100 of 1994", "ENDS!!", "clown$$$", plain):
+        assert channel.restore(same) == same
+
+
 def test_trigrams_count_everything(spark, awkward):
     texts = [(t or "") for _, t in AWKWARD]
     want = sum(len(t.encode()) + 1 for t in texts)
