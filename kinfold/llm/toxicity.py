@@ -46,6 +46,7 @@ _SUSPECT = re.compile(
 )
 _SPACED = re.compile(rf"(?:{_CHAR}[ .\-_*]+)+{_CHAR}")
 _PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+#: Words are chosen by their first so many bytes; a shorter word is its own stem.
 _STEM = 4
 
 
@@ -234,7 +235,7 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic", limit: int
 
     def run(batches):
         for b in batches:
-            words = [sorted(w for w in sent.value.words(t.as_py()) if len(w) >= _STEM) for t in b.column(0)]
+            words = [sorted(sent.value.words(t.as_py())) for t in b.column(0)]
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(words, pa.list_(pa.binary()))], ["label", "words"])
 
     sample = labelled_sample(docs.select("doc_id", "text"), labels, column, limit).select("text", "label")

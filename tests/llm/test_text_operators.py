@@ -518,6 +518,16 @@ def test_trigrams_count_everything(spark, awkward):
     assert want - 2 * len(texts) <= toxicity.trigram_counts(awkward).sum() <= want
 
 
+def test_toxicity_of_short_words(spark):
+    bad, fine = "the zub here", "the new here"
+    rows = [(i, f"{bad if i % 2 else fine} {i}") for i in range(400)] + [(1001, "z u b"), (1002, "zub!"), (1003, "new"), (1004, "zubrowka")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int"))
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs, model).collect()}
+    assert all(got[i] == i % 2 for i in range(400))
+    assert (got[1001], got[1002], got[1003], got[1004]) == (1, 1, 0, 0)
+
+
 def test_toxicity_awkward(spark, awkward, empty):
     labels = spark.createDataFrame([(4, 1), (5, 0), (7, 1), (7, 0), (None, 1), (8, None)], "doc_id long, toxic int")
     got = toxicity.score(awkward, toxicity.train(awkward, labels)).toPandas()
