@@ -45,23 +45,17 @@ def block_union(s1: DataFrame, others: DataFrame, keys: dict[str, int] = KEYS, s
     return a.join(b, ["kind", "key"]).select("s1_id", "candidate_id").distinct()
 
 
-def trigrams(c: Column) -> Column:
-    """Distinct trigrams of the text with two blanks round it; the empty text has one, ''."""
-    padded = F.concat(F.lit("  "), c, F.lit("  "))
-    grams = F.transform(F.sequence(F.lit(1), F.length(padded) - 2), lambda i: F.substring(padded, i, F.lit(3)))
-    return F.when(c == "", F.array(F.lit(""))).otherwise(F.array_distinct(grams))
-
-
 def minhash(c: Column, hashes: int = HASHES, seed: int = 0) -> Column:
     """Signature as array<bigint>: per slot the least of the trigrams' hashes XOR the slot's constant.
 
     A trigram's hash is the first 32 bits of its MD5. All slots of a text are one array
     operation in an Arrow function; nested lambdas are slower, because Spark interprets
-    them element by element.
+    them element by element. The trigrams of the text with two blanks round it (the empty
+    text has one, '') are taken in the function too: Spark's substring walks a text from its start, which makes long texts quadratic.
     """
     slots = np.array([(i * 2654435761) & 0xFFFFFFFF for i in range(hashes)], np.uint32)
 
-    def run(grams: pd.Series) -> pd.Series:
+    def run(texts: pd.Series) -> pd.Series:
         known: dict[str, int] = {}
 
         def h(g: str) -> int:
@@ -70,10 +64,16 @@ def minhash(c: Column, hashes: int = HASHES, seed: int = 0) -> Column:
                 got = known[g] = int.from_bytes(hashlib.md5(g.encode()).digest()[:4], "big") ^ seed
             return got
 
-        each = ((np.array([h(g) for g in x], np.uint32)[:, None] ^ slots).min(axis=0).astype(np.int64) for x in grams)
-        return pd.Series(list(each), dtype=object)
+        def least(t: str) -> np.ndarray:
+            padded = f"  {t}  "
+            grams = {padded[i : i + 3] for i in range(len(padded) - 2)} if t else {""}
+            hashed = np.fromiter((h(g) for g in grams), np.uint32, len(grams))
+            blocks = [(hashed[i : i + 8192, None] ^ slots).min(axis=0) for i in range(0, len(hashed), 8192)]
+            return np.min(blocks, axis=0).astype(np.int64)
+
+        return pd.Series([least(t) for t in texts], dtype=object)
 
-    return F.pandas_udf(run, ArrayType(LongType()))(trigrams(c))
+    return F.pandas_udf(run, ArrayType(LongType()))(c)
 
 
 def signatures(df: DataFrame, text_col: str = "name_nospace", hashes: int = HASHES) -> DataFrame:

@@ -5,6 +5,8 @@ Names follow the operators; every computed column has the same name on both side
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -172,6 +174,11 @@ def _names(spark, sf_dir) -> DataFrame:
     return ent_doc(spark, sf_dir).select("entity_id", F.col("business_name").alias("name_nospace"))
 
 
+def _texts(spark, sf_dir) -> DataFrame:
+    """Documents under their whole texts."""
+    return ent_doc(spark, sf_dir).select("entity_id", F.col("text").alias("name_nospace"))
+
+
 @query(f"{_SIG} SELECT entity_id, array_to_string(sig, ',') AS signature FROM sig")
 def minhash_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocking.signatures(_names(spark, sf_dir)).select("entity_id", F.array_join("sig", ",").alias("signature"))
@@ -194,11 +201,29 @@ def lsh_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def lsh_candidates_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with the first 500 candidates of a record verified."""
-    e = _names(spark, sf_dir)
+    """Candidates by the whole text, with the first 500 of a record verified."""
+    e = _texts(spark, sf_dir)
     return blocking.lsh_block(of_source(e, 1), of_source(e, 2, 3))
 
 
+@query()
+def minhash_signature_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signatures of the whole texts; ``minhash_signature`` and its SQL take names of 40 characters."""
+    return blocking.signatures(_texts(spark, sf_dir)).select("entity_id", F.array_join("sig", ",").alias("signature"))
+
+
+@query()
+def lsh_bands_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocking.bands(blocking.signatures(_texts(spark, sf_dir)))
+
+
+@query()
+def lsh_candidates_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MinHash candidates by the whole text, every one verified."""
+    e = _texts(spark, sf_dir)
+    return blocking.lsh_block(of_source(e, 1), of_source(e, 2, 3), cap=None)
+
+
 # sources, sampling -----------------------------------------------------------------------
 
 
@@ -317,22 +342,30 @@ def _candidates(spark, sf_dir) -> DataFrame:
     return blocking.exact_block(of_source(e, 1), of_source(e, 2, 3), "name_sorted")
 
 
+def _whole_candidates(spark, sf_dir) -> DataFrame:
+    """Documents of one language whose whole texts have the same distinct words, in any order and case."""
+    words = F.array_remove(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), "")
+    k = F.concat_ws("|", F.array_join(F.array_sort(F.array_distinct(words)), " "), "lang").alias("name_sorted")
+    e = ent_doc(spark, sf_dir).select("entity_id", k)
+    return blocking.exact_block(of_source(e, 1), of_source(e, 2, 3), "name_sorted")
+
+
 @query(f"{_G} SELECT s1_id, match_id, split_part(match_id, '-', 1) AS match_source FROM gt")
 def truth_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.truth_to_pairs(_truth(spark, sf_dir))
 
 
 @query(f"{_G} SELECT c.s1_id, c.candidate_id, (gt.s1_id IS NOT NULL)::INTEGER AS label FROM c LEFT JOIN gt ON c.s1_id = gt.s1_id AND c.candidate_id = gt.match_id")
-def label_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairs.assign_labels(_candidates(spark, sf_dir), _truth_pairs(spark, sf_dir))
+def label_join(spark: SparkSession, sf_dir: str, candidates=_candidates) -> DataFrame:
+    return pairs.assign_labels(candidates(spark, sf_dir), _truth_pairs(spark, sf_dir))
 
 
 @query(f"""{_G}, v AS (SELECT s1_id FROM (SELECT s1_id, row_number() OVER (ORDER BY md5(s1_id || '|42'), s1_id) AS rn, count(*) OVER () AS n FROM s1) WHERE rn <= round_even(0.2 * n, 0))
 SELECT s1_id, candidate_id FROM c WHERE s1_id IN (SELECT s1_id FROM v)""")
-def semi_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+def semi_validation(spark: SparkSession, sf_dir: str, candidates=_candidates) -> DataFrame:
     """Candidate pairs of the validation ids."""
     ids = of_source(ent_doc(spark, sf_dir), 1).select(F.col("entity_id").alias("s1_id"))
-    return pairs.split_features(_candidates(spark, sf_dir), sampling.split_ids(ids))[1]
+    return pairs.split_features(candidates(spark, sf_dir), sampling.split_ids(ids))[1]
 
 
 @query(f"{_G} SELECT s1_id, match_id, split_part(match_id, '-', 1) AS match_source FROM gt WHERE match_id NOT LIKE 'S2-%'")
@@ -344,30 +377,30 @@ def anti_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""{_G} SELECT s1.s1_id AS source1_entity_id, coalesce(string_agg(candidate_id, ',' ORDER BY candidate_id), '') AS candidate_entity_ids
 FROM s1 LEFT JOIN c ON s1.s1_id = c.s1_id GROUP BY 1""")
-def results_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+def results_wide(spark: SparkSession, sf_dir: str, candidates=_candidates) -> DataFrame:
     """One row per first-source record, its candidates sorted and joined."""
-    return pairs.wide(of_source(ent_doc(spark, sf_dir), 1), _candidates(spark, sf_dir), "candidate_entity_ids", unique=True)
+    return pairs.wide(of_source(ent_doc(spark, sf_dir), 1), candidates(spark, sf_dir), "candidate_entity_ids", unique=True)
 
 
 @query(f"""{_G} SELECT DISTINCT s1_id, candidate_id FROM c""")
-def parse_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+def parse_lists(spark: SparkSession, sf_dir: str, candidates=_candidates) -> DataFrame:
     """Lists written with repeats and blanks, read back as pairs."""
-    w = pairs.wide(of_source(ent_doc(spark, sf_dir), 1), _candidates(spark, sf_dir), "joined", unique=True)
+    w = pairs.wide(of_source(ent_doc(spark, sf_dir), 1), candidates(spark, sf_dir), "joined", unique=True)
     messy = F.concat(F.lit(" , "), F.replace("joined", F.lit(","), F.lit(" ,, ")), F.lit(","), F.col("joined"))
     return w.select(F.col("source1_entity_id").alias("s1_id"), F.explode(parse_id_list(messy)).alias("candidate_id"))
 
 
 @query(f"""{_G} SELECT count(candidate_id) AS found, count(*) AS total, CASE WHEN count(*) = 0 THEN 1.0 ELSE count(candidate_id)::DOUBLE / count(*) END AS candidate_recall
 FROM gt LEFT JOIN c ON gt.s1_id = c.s1_id AND gt.match_id = c.candidate_id""")
-def candidate_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blocking.candidate_recall(_candidates(spark, sf_dir), _truth_pairs(spark, sf_dir))
+def candidate_recall(spark: SparkSession, sf_dir: str, candidates=_candidates) -> DataFrame:
+    return blocking.candidate_recall(candidates(spark, sf_dir), _truth_pairs(spark, sf_dir))
 
 
 @query(f"""{_G} SELECT round(1 - (SELECT count(*) FROM c)::DOUBLE / greatest((SELECT count(*) FROM s1) * (SELECT count(*) FROM e WHERE entity_id NOT LIKE 'S1-%'), 1), 6) AS reduction_ratio""")
-def reduction_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reduction_ratio(spark: SparkSession, sf_dir: str, candidates=_candidates) -> DataFrame:
     e = ent_doc(spark, sf_dir)
     n = e.agg(*[F.sum(F.col("entity_id").startswith(f"S{k}-").cast("long")).alias(f"n{k}") for k in (1, 2, 3)])
-    both = _candidates(spark, sf_dir).agg(F.count(F.lit(1)).alias("pairs")).crossJoin(n)  # one row each
+    both = candidates(spark, sf_dir).agg(F.count(F.lit(1)).alias("pairs")).crossJoin(n)  # one row each
     share = 1 - F.col("pairs") / F.greatest(F.col("n1") * (F.col("n2") + F.col("n3")), F.lit(1))
     return both.select(F.round(share, 6).alias("reduction_ratio"))
 
@@ -406,17 +439,22 @@ z AS (SELECT *, CASE WHEN nt = 0 THEN p WHEN p + r = 0 THEN 0 ELSE 1.25 * p * r
 
 
 @query(f"{_M} SELECT round(avg(f), 6) AS f05, round(avg(p), 6) AS precision, round(avg(r), 6) AS recall FROM z")
-def macro_f05(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.macro_f05(pairs.grouped(_candidates(spark, sf_dir)), _truth(spark, sf_dir))
+def macro_f05(spark: SparkSession, sf_dir: str, candidates=_candidates) -> DataFrame:
+    return metrics.macro_f05(pairs.grouped(candidates(spark, sf_dir)), _truth(spark, sf_dir))
 
 
 @query(f"""{_M} SELECT round(avg(f), 6) AS f05, round(avg(p), 6) AS precision, round(avg(r), 6) AS recall, count(*) AS n_s1_entities, sum(nt)::BIGINT AS n_true_matches,
   round(avg((nt = 0)::INTEGER), 4) AS singleton_frac, (SELECT count(*) FROM c) AS n_predicted_matches FROM z""")
-def full_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = metrics.full_report(pairs.grouped(_candidates(spark, sf_dir)), _truth(spark, sf_dir))
+def full_report(spark: SparkSession, sf_dir: str, candidates=_candidates) -> DataFrame:
+    t = metrics.full_report(pairs.grouped(candidates(spark, sf_dir)), _truth(spark, sf_dir))
     return t.select("*")
 
 
+# the SQL of these pairs documents by their first 20 characters; here the whole texts are paired
+for _f in (label_join, semi_validation, results_wide, parse_lists, candidate_recall, reduction_ratio, macro_f05, full_report):
+    QUERIES[f"{_f.__name__}_whole"] = partial(_f, candidates=_whole_candidates)
+
+
 @query(f"""{_D}, r AS (SELECT 'S1-' || doc_id AS s1_id, doc_id % 7 AS m FROM documents WHERE doc_id % 5 <> 0),
 x AS (SELECT 'missing_row' AS rule, entity_id AS x FROM e WHERE entity_id LIKE 'S1-%' AND doc_id % 5 = 0
   UNION ALL SELECT 'unknown_row', 'S1-' || doc_id FROM e WHERE entity_id NOT LIKE 'S1-%' AND doc_id % 5 <> 0

@@ -1,5 +1,6 @@
 """Similarities, features, candidates, metrics, splits and learning."""
 
+import hashlib
 import random
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from kinfold.functions import similarity as sim
 from kinfold.operators import blocking, features, learn, metrics, pairs, sampling
 from kinfold.operators.normalize import preprocess_source
+from kinfold.plans.queries import QUERIES
 from kinfold.plans.views import of_source
 
 SCHEMA = "entity_id string, business_name string, business_address string, country string"
@@ -201,3 +203,42 @@ def test_labels_and_lists(spark):
     w = {r[0]: r[1] for r in pairs.wide(s1, twice, "ids", unique=True).collect()}
     assert w == {"a": "x,y", "b": "x", "c": ""}
     assert {r[0]: r[1] for r in pairs.wide(s1, twice, "ids").collect()}["b"] == "x,x"
+
+
+def _documents(spark, folder):
+    """Four texts: 1 begins like 2 and is like 3 but for the opening; 4 is 3's words in another order and case."""
+    tail = " ".join(f"word{i} of {i * i}" for i in range(60))
+    opening = "the very same opening of forty characters "
+    rows = [(3, opening + tail), (1, opening + "and nothing in common: " + "zq xk jv " * 60), (4, "another first line " + tail), (7, " ".join(reversed(("another FIRST line " + tail).split())))]
+    table = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    table.write.parquet(f"{folder}/documents.parquet")
+    return {("S%d-%d" % (1 + i % 3, i)): t for i, t in rows}
+
+
+def test_whole_texts_are_compared(spark, tmp_path):
+    texts = _documents(spark, tmp_path)
+    grams = {k: {f"  {t}  "[i : i + 3] for i in range(len(t) + 2)} for k, t in texts.items()}
+    near = lambda a, b: len(grams[a] & grams[b]) / len(grams[a] | grams[b])
+    assert near("S1-3", "S2-4") > 0.8 > 0.2 > near("S1-3", "S2-1")
+    for name in ("lsh_candidates_whole", "lsh_candidates_capped"):
+        found = {(r[0], r[1]) for r in QUERIES[name](spark, str(tmp_path)).collect()}
+        assert ("S1-3", "S2-4") in found and ("S1-3", "S2-1") not in found, name
+    slots = [(i * 2654435761) & 0xFFFFFFFF for i in range(128)]
+    for r in QUERIES["minhash_signature_whole"](spark, str(tmp_path)).collect():
+        hashes = [int(hashlib.md5(g.encode()).hexdigest()[:8], 16) for g in grams[r["entity_id"]]]
+        assert r["signature"] == ",".join(str(min(h ^ x for h in hashes)) for x in slots)
+    assert QUERIES["lsh_bands_whole"](spark, str(tmp_path)).count() == 4 * 16
+
+
+def test_whole_text_keys(spark, tmp_path):
+    tail = " ".join(f"w{i}" for i in range(50))
+    rows = [(3, f"a start {tail}"), (1, f"a start {tail} and more"), (4, f"{tail} A start"), (2, f"a start {tail}")]
+    table = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    run = lambda name: sorted(tuple(r) for r in QUERIES[name](spark, str(tmp_path)).collect())
+    assert run("label_join_whole") == [("S1-3", "S2-4", 0), ("S1-3", "S3-2", 1)]
+    assert set(run("parse_lists_whole")) == {("S1-3", "S2-4"), ("S1-3", "S3-2")}
+    assert run("results_wide_whole") == [("S1-3", "S2-4,S3-2")]
+    assert run("candidate_recall_whole") == [(1, 1, 1.0)] and run("reduction_ratio_whole") == [(round(1 - 2 / 3, 6),)]
+    assert [r["precision"] for r in QUERIES["macro_f05_whole"](spark, str(tmp_path)).collect()] == [0.5]
+    assert [r["n_predicted_matches"] for r in QUERIES["full_report_whole"](spark, str(tmp_path)).collect()] == [2]
