@@ -115,31 +115,33 @@ class Codec:
     def merge(self, piece: bytes) -> tuple[int, ...]:
         """Merges the lowest rank first, the leftmost of equal ones, over a linked list.
 
-        A heap entry is ``rank << 24 | place``; it is stale, and skipped, unless the pair
-        that now starts at the place still has that rank.
+        A heap entry is the rank, then the place in as many bits as the piece needs; it is
+        stale, and skipped, unless the pair that now starts at the place still has that rank.
         """
         pairs, n = self.pairs, len(piece)
+        bits = n.bit_length()
+        places = (1 << bits) - 1
         part = [self.byte_id[b] for b in piece]
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         found = [pairs[a](b) for a, b in pairwise(part)]
-        heap = [r << 24 | i for i, r in enumerate(found) if r is not None]
+        heap = [r << bits | i for i, r in enumerate(found) if r is not None]
         heapify(heap)
         part.append(-1)  # nothing follows the last one
         while heap:
             top = heappop(heap)
-            i = top & 0xFFFFFF
+            i = top & places
             a, j = part[i], after[i]
-            if a < 0 or pairs[a](part[j]) != (r := top >> 24):
+            if a < 0 or pairs[a](part[j]) != (r := top >> bits):
                 continue
             part[i], part[j] = r, -1
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
                 if (x := pairs[r](part[k])) is not None:
-                    heappush(heap, x << 24 | i)
+                    heappush(heap, x << bits | i)
             p = before[i]
             if p >= 0 and (x := pairs[part[p]](r)) is not None:
-                heappush(heap, x << 24 | p)
+                heappush(heap, x << bits | p)
         return tuple([x for x in part if x >= 0])
 
     def chunk(self, text: str) -> tuple[int, ...]:

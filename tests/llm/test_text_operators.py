@@ -408,6 +408,15 @@ def test_encoding(coder):
         assert codec.decode(ids) == t.encode()
 
 
+def test_pieces_of_more_than_two_to_the_24_bytes(coder):
+    codec = coder[0].codec()
+    rare = next(bytes([b]) for b in range(128, 256) if len(codec.merge(bytes([b]) * 4)) == 4)  # never merges, so the heap stays small
+    short = codec.merge(rare * 4 + b"the")
+    assert len(short) < 7
+    long = codec.merge(rare * (1 << 24) + b"the")
+    assert long[-len(short) :] == short and len(long) == len(short) - 4 + (1 << 24)
+
+
 def test_perfect_hash():
     keys = [f"key{i}".encode() for i in range(3000)]
     h = bpe.PerfectHash(keys)
