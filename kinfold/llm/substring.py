@@ -1,26 +1,36 @@
 """Substring dedup: suffix automata and matching statistics over routed reference shards.
 
 A window of 50 words goes when an earlier document has it too. Broadcasting automata of
-all reference shards to all documents would make work grow with the square of the input,
-so shards are routed instead: windows are grouped by their minimizer (the least hash of
-their 12-word runs), which equal windows share wherever they stand. A run of windows with
-one minimizer is a chunk. Chunks with equal text need no more than their least document;
-chunks of one minimizer with different texts meet in one shard, whose automaton takes the
-chunks of earlier documents and gives the matching statistics of later ones. A minimizer
-with very many different chunks has its windows compared one by one by digest instead.
+all reference shards to all documents makes work grow with the square of the input (figures
+in the README), so shards are routed instead: windows are grouped by their minimizer (the
+least hash of their 12-word runs), which equal windows share wherever they stand. A run of
+windows with one minimizer is a chunk. Chunks with equal text (128 bits of BLAKE2 over the
+words) need no more than their least document; chunks of one minimizer with different texts
+meet in one shard, whose automaton takes the chunks of earlier documents and gives the
+matching statistics of later ones. Shards are bounded: a minimizer with more different
+texts than a shard takes has its windows dealt again by their least 31-word run, then, if
+need be, by the whole window.
 """
 
 from __future__ import annotations
 
+import hashlib
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import materialize, table
+from kinfold.llm.common import discard, join_dealt, materialize, table, text_key
 
-SIZE, GRAM = 50, 12
-#: Different chunks of a minimizer that one automaton takes; beyond it windows go one by one.
-SHARD = 1000
+SIZE = 50
+#: Words of the runs by which windows are dealt, the first time and again while a minimizer is crowded.
+GRAMS = (12, 31, SIZE)
+#: Different chunks of a minimizer that one automaton takes; beyond it they are dealt again.
+SHARD = 500
+#: What tells rows apart: the id and 128 bits of the text.
+KEY = ["doc", "t1", "t2"]
+_SLICE = 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -47,7 +57,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
         have = np.full(max(n + 1, 1 << 16), base, np.uint64)
         have[0] = 1
         have = np.cumprod(have, dtype=np.uint64)
-        if n < 8_000_000:
+        if n <= 2 * _SLICE:  # what one endless text needs is not kept
             _tables[int(base)] = have
     return have
 
@@ -66,8 +76,8 @@ class Rolling:
         return _mix(run + (end - start).astype(np.uint64) * _B)
 
 
-def words_in(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, text number) of each word of the texts, and each text's first word's place."""
+def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte of each word of the texts, the byte after it, and each text's first word's place."""
     n = len(data)
     solid = np.zeros(n + 1, bool)
     solid[:n] = ~_SPACE[data]
@@ -78,66 +88,89 @@ def words_in(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     at = np.flatnonzero(start)
     stop = solid.copy()
     stop[:-1] &= ~solid[1:] | cut[1:]
-    hashes = Rolling(data.astype(np.uint64) + np.uint64(1), _B).of(at, np.flatnonzero(stop) + 1)
-    first = np.searchsorted(at, offsets)
+    return at, np.flatnonzero(stop) + 1, np.searchsorted(at, offsets)
+
+
+def words_in(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, text number) of each word of the texts, and each text's first word's place."""
+    at, end, first = word_bounds(data, offsets)
+    hashes = Rolling(data.astype(np.uint64) + np.uint64(1), _B).of(at, end)
     return hashes, np.repeat(np.arange(len(offsets) - 1), np.diff(first)), first
 
 
-def chunks_in(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
-    """Per chunk: text number, first window's place in its text, number of windows, minimizer, digest."""
-    words, text, first = words_in(data, offsets)
-    n, span = len(words), SIZE - GRAM + 1
-    if n < SIZE:
-        return {k: np.zeros(0, np.int64) for k in ("text", "at", "n", "h", "c")}
-    roll = Rolling(words, _C)
-    grams = np.arange(n - GRAM + 1)
-    hashes = roll.of(grams, grams + GRAM)
+def chunks_in(texts: list[bytes], gram: int) -> tuple[dict[str, np.ndarray], list[bytes]]:
+    """Per chunk: text number, first window's place in its text, number of windows, minimizer; and its words.
+
+    Words of the texts are parted by single blanks. Only the minimizer comes from a hash of
+    the words: where it collides, texts with nothing in common meet, which does no harm.
+    """
+    whole = b"".join(texts)
+    data = np.frombuffer(whole, np.uint8)
+    offsets = np.cumsum([0, *map(len, texts)])
+    begin, end, first = word_bounds(data, offsets)
+    n, span = len(begin), SIZE - gram + 1
+    text = np.repeat(np.arange(len(texts)), np.diff(first))
+    starts = np.flatnonzero(text[: n - SIZE + 1] == text[SIZE - 1 :]) if n >= SIZE else np.zeros(0, np.int64)
+    if not len(starts):
+        return {k: np.zeros(0, np.int64) for k in ("text", "at", "n", "h")}, []
+    words = Rolling(data.astype(np.uint64) + np.uint64(1), _B).of(begin, end)
+    grams = np.arange(n - gram + 1)
+    hashes = Rolling(words, _C).of(grams, grams + gram)
     low = (hashes & ~_PLACE) | grams.astype(np.uint64)
     width = 1
     while 2 * width <= span:
         low = np.minimum(low[:-width], low[width:])
         width *= 2
     low = np.minimum(low[: len(low) - (span - width)], low[span - width :])
-    starts = np.flatnonzero(text[: n - SIZE + 1] == text[SIZE - 1 :])
     least = (low[starts] & _PLACE).astype(np.int64)
-    edge = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1]))) if len(starts) else starts
-    last = np.append(edge[1:], len(starts)) - 1
-    s0, s1 = starts[edge], starts[last] if len(starts) else starts
-    return {
-        "text": text[s0], "at": s0 - first[text[s0]], "n": s1 - s0 + 1,
-        "h": hashes[least[edge]].view(np.int64), "c": roll.of(s0, s1 + SIZE).view(np.int64),
-    }
+    edge = np.flatnonzero(np.concatenate(([True], (least[1:] != least[:-1]) | (text[starts[1:]] != text[starts[:-1]]))))
+    s0, s1 = starts[edge], starts[np.append(edge[1:], len(starts)) - 1]
+    found = {"text": text[s0], "at": s0 - first[text[s0]], "n": s1 - s0 + 1, "h": hashes[least[edge]].view(np.int64)}
+    return found, [whole[a:b] for a, b in zip(begin[s0].tolist(), end[s1 + SIZE - 1].tolist(), strict=True)]
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc, text and ``rid``, which tells rows with one id and different texts apart."""
-    doc, text = F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.xxhash64(doc, text).alias("rid"), doc.cast("long").alias("doc"), text.alias("text"))
+    """doc, t1, t2 and text."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).alias("doc"), *text_key(text), text.alias("text"))
+
+
+def _same_row(a: DataFrame, b: DataFrame):
+    return a["doc"].eqNullSafe(b["doc"]) & (a["t1"] == b["t1"]) & (a["t2"] == b["t2"])
 
 
-def chunk_table(rows: DataFrame) -> DataFrame:
-    """(h, c, doc, rid, at, n) of every chunk of every text."""
+def chunk_table(rows: DataFrame, gram: int, words: bool = False) -> DataFrame:
+    """(doc, t1, t2, at, n, h, c1, c2) of every chunk of every text, and the chunk's words if asked for.
+
+    ``rows``: doc, t1, t2, text and, where the text is itself a chunk, its place ``at``.
+    """
     import pyarrow as pa
 
+    placed = "at" in rows.columns
+
     def run(batches):
         for b in batches:
-            texts = b.column(2).cast(pa.large_binary())
+            texts = b.column(3).cast(pa.large_binary())
             ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-            data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
             i = 0
-            while i < b.num_rows:  # texts of some two million bytes at a time
-                j = max(i + 1, int(np.searchsorted(ends, ends[i] + 2_000_000, "right")) - 1)
+            while i < b.num_rows:
+                j = max(i + 1, int(np.searchsorted(ends, ends[i] + _SLICE, "right")) - 1)
                 j = min(j, b.num_rows)
-                got = chunks_in(data[ends[i] : ends[j]], ends[i : j + 1] - ends[i])
-                of = pa.array(got["text"] + i)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(got["h"]), pa.array(got["c"]), b.column(1).take(of), b.column(0).take(of),
-                     pa.array(got["at"].astype(np.int32)), pa.array(got["n"].astype(np.int32))],
-                    ["h", "c", "doc", "rid", "at", "n"],
-                )
+                got, chunks = chunks_in([b" ".join(t.as_py().split()) for t in texts[i:j]], gram)
+                of, at = pa.array(got["text"] + i), got["at"]
+                if placed:
+                    at = at + b.column(4).to_numpy()[got["text"] + i]
+                digests = b"".join([hashlib.blake2b(c, digest_size=16).digest() for c in chunks])
+                c = np.frombuffer(digests, np.int64).reshape(-1, 2)
+                cols = [*(b.column(k).take(of) for k in range(3)), pa.array(at.astype(np.int32)), pa.array(got["n"].astype(np.int32)), pa.array(got["h"])]
+                cols += [pa.array(np.ascontiguousarray(c[:, k])) for k in (0, 1)] + [pa.array(chunks, pa.binary())] * words
+                yield pa.RecordBatch.from_arrays(cols, names)
                 i = j
 
-    return rows.mapInArrow(run, "h long, c long, doc long, rid long, at int, n int")
+    names = [*KEY, "at", "n", "h", "c1", "c2"] + ["words"] * words
+    kind = rows.schema["doc"].dataType.simpleString()
+    out = f"doc {kind}, t1 long, t2 long, at int, n int, h long, c1 long, c2 long" + ", words binary" * words
+    return rows.select(*KEY, "text", *["at"] * placed).mapInArrow(run, out)
 
 
 class Automaton:
@@ -195,12 +228,12 @@ class Automaton:
 
 
 def _matched(shard: list[tuple], size: int = SIZE) -> list[tuple]:
-    """(rid, start, end) of the windows of a shard's chunks that chunks of earlier documents have.
+    """(doc, t1, t2, start, end) of the windows of a shard's chunks that chunks of earlier documents have.
 
-    Rows are (doc, rid, at, words) in the order of their documents.
+    Rows are (doc, t1, t2, at, words) in the order of their documents.
     """
     known, out, waiting, now = Automaton(), [], [], object()
-    for doc, rid, at, text in shard:
+    for doc, t1, t2, at, text in shard:
         words = text.split(b" ")
         if doc != now:
             for w in waiting:
@@ -216,91 +249,107 @@ def _matched(shard: list[tuple], size: int = SIZE) -> list[tuple]:
             elif e == end + 1:
                 end = e
             else:
-                out.append((rid, at + start, at + end))
+                out.append((doc, t1, t2, at + start, at + end))
                 start, end = e - size, e
         if start is not None:
-            out.append((rid, at + start, at + end))
+            out.append((doc, t1, t2, at + start, at + end))
     return out
 
 
 def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(h, doc, rid, at, words, crowded) of the wanted chunks: each text is cut where it stands."""
+    """(doc, t1, t2, at, h, crowded, words) of the wanted chunks: each text is cut where it stands."""
     import pyarrow as pa
 
-    parts = wanted.groupBy("rid").agg(F.collect_set(F.struct("at", "n", "h", "crowded")).alias("parts"))
+    parts = wanted.groupBy(*KEY).agg(F.collect_set(F.struct("at", "n", "h", "crowded")).alias("parts"))
+    names = [*KEY, "at", "h", "crowded", "words"]
 
     def run(batches):
         for b in batches:
-            got = []
-            for rid, doc, text, parts in zip(*[b.column(k).to_pylist() for k in range(4)], strict=True):
-                words = text.encode("utf-8", "surrogatepass").split()
-                for p in parts:
-                    got.append((p["h"], doc, rid, p["at"], b" ".join(words[p["at"] : p["at"] + p["n"] + SIZE - 1]), p["crowded"]))
-            cols = list(zip(*got, strict=True)) or [()] * 6
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_()]
-            names = ["h", "doc", "rid", "at", "words", "crowded"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
-
-    return rows.join(parts, "rid").select("rid", "doc", "text", "parts").mapInArrow(
-        run, "h long, doc long, rid long, at int, words binary, crowded boolean"
-    )
+            of, got = [], []
+            for i, (text, parts) in enumerate(zip(b.column(3), b.column(4), strict=True)):
+                words = text.as_py().encode("utf-8", "surrogatepass").split()
+                for p in parts.as_py():
+                    of.append(i)
+                    got.append((p["at"], p["h"], p["crowded"], b" ".join(words[p["at"] : p["at"] + p["n"] + SIZE - 1])))
+            cols = list(zip(*got, strict=True)) or [()] * 4
+            kinds = [pa.int32(), pa.int64(), pa.bool_(), pa.binary()]
+            own = [b.column(k).take(pa.array(of, pa.int64())) for k in range(3)]
+            yield pa.RecordBatch.from_arrays(own + [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
+
+    kind = rows.schema["doc"].dataType.simpleString()
+    joined = rows.join(parts, _same_row(rows, parts)).select(*[rows[k] for k in KEY], rows["text"], parts["parts"])
+    return joined.mapInArrow(run, f"doc {kind}, t1 long, t2 long, at int, h long, crowded boolean, words binary")
 
 
 def _by_automata(texts: DataFrame) -> DataFrame:
-    """(rid, start, end) from shards, each of one minimizer."""
+    """(doc, t1, t2, start, end) from shards, each of one minimizer and at most ``SHARD`` different texts."""
     import pyarrow as pa
 
-    dealt = texts.drop("crowded").distinct().repartition("h").sortWithinPartitions("h", F.col("doc").asc_nulls_last(), "rid", "at")
+    dealt = texts.select("h", *KEY, "at", "words").repartition("h").sortWithinPartitions("h", F.col("doc").asc_nulls_last(), "t1", "t2", "at")
+    names = [*KEY, "start", "end"]
 
     def run(batches):
-        shard, key = [], None
-        kinds = [pa.int64(), pa.int32(), pa.int32()]
+        shard, key, kind = [], None, None
 
         def flush():
-            cols = list(zip(*_matched(shard), strict=True)) or [()] * 3
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["rid", "start", "end"])
+            cols = list(zip(*_matched(shard), strict=True)) or [()] * 5
+            kinds = [kind, pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
         for b in batches:
-            for h, *row in zip(*[b.column(k).to_pylist() for k in range(5)], strict=True):
+            kind = b.column(1).type
+            for h, *row in zip(*[b.column(k).to_pylist() for k in range(6)], strict=True):
                 if h != key and shard:
                     yield flush()
                     shard = []
                 key = h
-                shard.append(row)
+                if not shard or shard[-1] != row:  # rows that repeat as a whole
+                    shard.append(row)
         if shard:
             yield flush()
 
-    return dealt.mapInArrow(run, "rid long, start int, end int")
-
+    return dealt.mapInArrow(run, f"doc {texts.schema['doc'].dataType.simpleString()}, t1 long, t2 long, start int, end int")
 
-def _by_windows(texts: DataFrame) -> DataFrame:
-    """The same from chunks of crowded minimizers: each window by its digest, no shard at all."""
-    words = F.split(F.col("words").cast("string"), " ")
-    t = texts.distinct().select("doc", "rid", "at", words.alias("w"))
-    t = t.select("doc", "rid", "at", "w", F.explode(F.sequence(F.lit(0), F.size("w") - SIZE)).alias("i"))
-    t = t.select("doc", "rid", (F.col("at") + F.col("i")).alias("start"),
-                 F.md5(F.array_join(F.slice("w", F.col("i") + 1, SIZE), " ").cast("binary")).alias("key"))
-    least = t.groupBy("key").agg(F.min("doc").alias("least"))
-    later = t.join(least, "key").where(F.col("least").isNotNull() & (F.col("doc").isNull() | (F.col("least") < F.col("doc"))))
-    return later.select("rid", "start", (F.col("start") + SIZE).alias("end"))
 
+def _settled(found: DataFrame, shard: int) -> tuple[DataFrame, DataFrame]:
+    """Spans of the chunks that an earlier document has as a whole; and the chunks that automata have to compare.
 
-def spans(rows: DataFrame, shard: int = SHARD) -> DataFrame:
-    """(rid, start, end): word spans to remove, each made of windows of an earlier document."""
-    found = materialize(chunk_table(rows), "chunks")
-    same = found.groupBy("h", "c").agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("copies"))
+    The latter come with ``crowded``: whether their minimizer has more texts than a shard
+    takes. A text, or a minimizer, that very many rows share makes no task large: rows are
+    summed up before the shuffle, and joined by ``join_dealt``.
+    """
+    same = found.groupBy("h", "c1", "c2").agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("copies"))
     same = materialize(same, "contents")
     many = same.groupBy("h").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
     # chunks that occur again, or whose minimizer has other texts; all others are settled
-    seen = same.join(many, "h", "left").where("copies > 1 or texts > 1").drop("copies")
-    flagged = materialize(found.join(seen, ["h", "c"]), "flagged")
+    seen = join_dealt(same, many, ["h"], "texts")
+    alone = same.where("copies > 1").join(many.select("h"), "h", "left_anti").withColumn("texts", F.lit(1).cast("long"))
+    seen = materialize(seen.unionByName(alone), "seen")
+    flagged = materialize(join_dealt(found, seen, ["h", "c1", "c2"], "copies"), "flagged")
+    discard(found, same, seen)
     later = F.col("least").isNotNull() & (F.col("doc").isNull() | (F.col("least") < F.col("doc")))
-    whole = flagged.where(later).select("rid", F.col("at").alias("start"), (F.col("at") + F.col("n") + SIZE - 1).alias("end"))
-    rest = flagged.where(~later & F.col("texts").isNotNull())
+    whole = flagged.where(later).select(*KEY, F.col("at").alias("start"), (F.col("at") + F.col("n") + SIZE - 1).alias("end"))
+    rest = flagged.where(~later & (F.col("texts") > 1))
     # the flag travels with each chunk: no join on minimizers, of which one may have very many chunks
-    rest = rest.select("rid", "at", "n", "h", (F.col("texts") > shard).alias("crowded"))
-    texts = materialize(_texts(rows, rest), "texts")
-    return whole.unionByName(_by_automata(texts.where("not crowded"))).unionByName(_by_windows(texts.where("crowded")))
+    return whole, rest.withColumn("crowded", F.col("texts") > shard).drop("c1", "c2", "least", "copies", "texts")
+
+
+def spans(rows: DataFrame, shard: int = SHARD) -> DataFrame:
+    """(doc, t1, t2, start, end): word spans to remove, each made of windows of an earlier document."""
+    out, texts = [], None
+    for gram in GRAMS:
+        again = texts is not None
+        source = texts.select(*KEY, "at", F.col("words").cast("string").alias("text")) if again else rows
+        whole, rest = _settled(materialize(chunk_table(source, gram, words=again), "chunks"), shard)
+        out.append(whole)
+        if gram == SIZE:
+            break  # a chunk is one window here: those with different texts have nothing in common
+        texts = rest if again else materialize(_texts(rows, rest), "texts")
+        out.append(_by_automata(texts.where("not crowded")))
+        texts = texts.where("crowded")
+        if texts.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, out)
 
 
 def _kept(text: str, gone) -> tuple[int, list[bytes]]:
@@ -317,9 +366,10 @@ def _kept(text: str, gone) -> tuple[int, list[bytes]]:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard: int = SHARD) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the other words joined by one blank) per row.
 
-    Null and empty texts have no words. Among rows with one id nothing is removed for the
-    others' sake; a null id comes after all others. Repeated rows are treated alike; an
-    empty table gives no rows.
+    Ids may be of any type that sorts. Null and empty texts have no words. Among rows with
+    one id nothing is removed for the others' sake; a null id comes after all others.
+    Repeated rows are treated alike; an empty table gives no rows. Texts of any length are
+    hashed as a whole, within one task. No other column is read.
     """
     import pyarrow as pa
 
@@ -329,8 +379,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def run(batches):
         for b in batches:
             n, removed, kept = [], [], []
-            for text, gone in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                total, out = _kept(text, gone)
+            for text, gone in zip(b.column(1), b.column(2), strict=True):
+                total, out = _kept(text.as_py(), gone.as_py())
                 n.append(total)
                 removed.append(total - len(out))
                 kept.append(b" ".join(out))
@@ -339,23 +389,24 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 ["doc_id", "n_words", "n_removed", "kept"],
             )
 
-    joined = rows.join(gone, "rid", "left").select("doc", "text", "gone")
-    return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
+    joined = rows.join(gone, _same_row(rows, gone), "left").select(rows["doc"], rows["text"], gone["gone"])
+    return joined.mapInArrow(run, f"doc_id {rows.schema['doc'].dataType.simpleString()}, n_words long, n_removed long, kept string")
 
 
 def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars", shard: int = SHARD) -> DataFrame:
     """``docs`` with repeated windows cut out of the text, and the count of its characters renewed.
 
-    Texts that lose nothing stay as they are; all other columns do, too.
+    Texts that lose nothing stay as they are; all other columns do, too. Nulls, repeats,
+    long texts and empty tables as in ``remove_repeats``.
     """
     import pyarrow as pa
 
     gone = _gone(_keyed(docs, id_col, text_col), shard)
     names, at = docs.columns, docs.columns.index(text_col)
     chars = names.index(chars_col) if chars_col in names else None
-    rid = F.xxhash64(docs[id_col], F.coalesce(docs[text_col], F.lit("")))
-    flat = docs.select(rid.alias("rid"), *[docs[c].alias(f"c{k}") for k, c in enumerate(names)])
-    joined = flat.join(gone, "rid", "left").select("gone", *[f"c{k}" for k in range(len(names))])
+    key = [docs[id_col].alias("doc"), *text_key(docs[text_col])]
+    flat = docs.select(*key, *[docs[c].alias(f"c{k}") for k, c in enumerate(names)])
+    joined = flat.join(gone, _same_row(flat, gone), "left").select(gone["gone"], *[flat[f"c{k}"] for k in range(len(names))])
 
     def run(batches):
         for b in batches:
@@ -372,7 +423,7 @@ def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def _gone(rows: DataFrame, shard: int) -> DataFrame:
-    return spans(rows, shard).groupBy("rid").agg(F.collect_set(F.struct("start", "end")).alias("gone"))
+    return spans(rows, shard).groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias("gone"))
 
 
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:

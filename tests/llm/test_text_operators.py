@@ -23,7 +23,7 @@ AWKWARD = [
     (8, f"c {PASSAGE} d"), (9, f"a {PASSAGE} b"), (None, f"e {PASSAGE} f"), (None, None), (9, "another text"), (10, "ünï  co de 日本 'll 😀"),
     (11, "\x00 odd \x01 bytes"),
 ]
-CLASH = ("n_words", "score", "words", "w", "t", "h", "rid", "doc", "gone", "fp", "root", "predicted", "row", "label", "ids", "_at", "rank", "bits",
+CLASH = ("n_words", "score", "words", "w", "t", "h", "t1", "t2", "doc", "gone", "fp", "root", "predicted", "row", "label", "ids", "_at", "rank", "bits",
          "_id", "_hash", "_labelled", "at", "parts", "crowded", "least", "key", "component_id", "window", "item", "size")
 
 
@@ -296,6 +296,22 @@ def test_substrings_awkward(spark, awkward, empty):
     assert substring.strip_repeats(empty).count() == 0
 
 
+def test_substrings_of_words_whose_hashes_collide(spark):
+    a, b = "a", "b"
+    while len(a) < 2048:  # sequences on which every polynomial hash modulo a power of two agrees
+        a, b = a + b, b + a
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, f"{base} {a}"), (2, f"{base} {b}"), (3, f"{a} {base}"), (4, f"{b} {base} {a}")]
+    got = sorted((r.doc_id, r.n_words, r.n_removed, r.kept) for r in substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == without_repeats(rows) and got[1][2] == 60 and got[2][2] == 60
+
+
+def test_substrings_with_text_ids(spark):
+    rows = [(f"d{i}", t) for i, t in planted(40, 5)]
+    got = sorted((r.doc_id, r.n_words, r.n_removed, r.kept) for r in substring.remove_repeats(spark.createDataFrame(rows, "doc_id string, text string")).collect())
+    assert got == sorted(without_repeats(rows))
+
+
 def test_automaton_statistics():
     rng = random.Random(6)
     for _ in range(60):
