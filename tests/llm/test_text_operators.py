@@ -24,7 +24,7 @@ AWKWARD = [
     (11, "\x00 odd \x01 bytes"),
 ]
 CLASH = ("n_words", "score", "words", "w", "t", "h", "t1", "t2", "doc", "gone", "fp", "root", "predicted", "row", "label", "ids", "_at", "rank", "bits",
-         "_id", "_hash", "_labelled", "at", "parts", "crowded", "least", "key", "component_id", "window", "item", "size")
+         "_id", "_hash", "_labelled", "at", "parts", "crowded", "least", "key", "component_id", "window", "item", "size", "_1", "_2", "f", "n", "_bad", "_t1", "spans", "items")
 
 
 @pytest.fixture(scope="module")
@@ -113,18 +113,18 @@ def contamination(doc, items):
     return len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
 
 
-@pytest.mark.parametrize("limit", [decontam.SET_LIMIT, 0])
+@pytest.mark.parametrize("limit", [{}, {"text_limit": 0}, {"set_limit": 2}])
 def test_contamination(spark, awkward, empty, limit):
     items = [(1, PASSAGE[:60]), (10, "Word"), (2, None), (3, ""), (4, "a B  c, d e f g h i j k l m n o"), (5, "another text"), (6, "WORD")]
     tests = decontam.windows(spark.createDataFrame(items, "item_id long, text string"))
     extra = [(20, "x a b c d e f g h i j k l m n o y"), (21, "a b c d e f g h i j k l z"), (22, "Éa É"), (23, "text another word")]
     d = awkward.unionByName(spark.createDataFrame(extra, "doc_id long, text string"), allowMissingColumns=True)
-    got = decontam.report(decontam.hits(d, tests, set_limit=limit)).collect()
+    got = decontam.report(decontam.hits(d, tests, **limit)).collect()
     want = [contamination(t, items) for _, t in [*AWKWARD, *extra]]
     assert sorted((r.n_words, r.n_hit, r.n_items, r.items_sha256) for r in got) == sorted(want)
     assert all(r.contaminated == (r.n_hit > 0 and 20 * r.n_hit >= r.n_words) for r in got)
-    assert decontam.report(decontam.hits(empty, tests, set_limit=limit)).count() == 0
-    none = decontam.report(decontam.hits(awkward, tests.limit(0), set_limit=limit)).collect()
+    assert decontam.report(decontam.hits(empty, tests, **limit)).count() == 0
+    none = decontam.report(decontam.hits(awkward, tests.limit(0), **limit)).collect()
     assert len(none) == len(AWKWARD) and not any(r.n_hit for r in none)
     kept = decontam.clean(d, tests)
     assert kept.columns == d.columns and kept.count() == sum(not r.contaminated for r in got)
