@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import materialize
+from kinfold.llm.common import discard, join_dealt, materialize
 
 
 def _star(edges: DataFrame, larger: bool) -> DataFrame:
@@ -17,16 +17,17 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
 
     ``larger``: neighbours above the node move to the least neighbour or the node itself;
     otherwise the neighbours below it, and the node, move to the least of them. Rows are
-    joined to one row per node, so a node with very many neighbours is never gathered.
+    joined to one row per node, and a node with very many neighbours by broadcast, so it
+    is never gathered.
     """
     if larger:
         edges = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        moved = edges.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("n"))
+        moved = join_dealt(edges, least, ["u"], "n").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        least = edges.groupBy("u").agg(F.min("v").alias("m"))
-        moved = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        moved = join_dealt(edges, least, ["u"], "n").select(F.col("v").alias("u"), F.col("m").alias("v"))
         moved = moved.unionByName(least.select("u", F.col("m").alias("v")))
     return moved.where("u <> v").distinct()
 
@@ -42,7 +43,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     mark = lambda e: e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
     before = mark(edges)
     for _ in range(rounds):
-        edges = materialize(_star(_star(edges, True), False), "edges")
+        half = materialize(_star(edges, True), "edges")
+        discard(edges)
+        edges = materialize(_star(half, False), "edges")
+        discard(half)
         after = mark(edges)
         if after == before:
             nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -17,10 +17,12 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import materialize, table
+from kinfold.llm.common import discard, join_dealt, materialize, table, text_key
 from kinfold.llm.graph import components
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
+#: Fingerprints under one key that one task compares; more are dealt to tasks by pairs of parts.
+PART = 20_000
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
 _TO_LOWER = bytes.maketrans(_UPPER, _LOWER)
@@ -58,16 +60,16 @@ def _majority(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp, text_hash) per row; fp holds the 64 bits as a signed long. Null and empty: 0."""
+    """(doc_id, fp, t1, t2) per row; fp holds the 64 bits as a signed long. Null and empty: 0."""
     import pyarrow as pa
 
     def run(batches):
         for b in batches:
             fp = np.array([fingerprint(t.as_py()) for t in b.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), b.column(2)], ["doc_id", "fp", "text_hash"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), b.column(2), b.column(3)], ["doc_id", "fp", "t1", "t2"])
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long, text_hash long")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *text_key(F.col(text_col)))
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long, t1 long, t2 long")
 
 
 def plan_blocks(n: int, radius: int = RADIUS) -> tuple[int, int]:
@@ -190,7 +192,24 @@ def _join(root: np.ndarray, a: np.ndarray, b: np.ndarray, out_a: list, out_b: li
             root[:] = up
 
 
-def links(prints: DataFrame, radius: int = RADIUS, blocks: tuple[int, int] | None = None) -> DataFrame:
+def _dealt(dealt: DataFrame, part: int) -> DataFrame:
+    """(k, key, pair, fp): the rows under a key, those of a crowded key once for every pair of parts they belong to.
+
+    A key with more than ``part`` rows is cut into parts by the fingerprint's hash, and each
+    two parts meet in a group of their own, so no task holds a whole dense cluster.
+    """
+    crowd = dealt.groupBy("k", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > part)
+    crowd = materialize(crowd.withColumn("parts", F.expr(f"cast(n div {part} + 1 as int)")), "crowded")
+    if crowd.isEmpty():
+        return dealt.withColumn("pair", F.lit(0).cast("long"))
+    few = dealt.join(crowd.select("k", "key"), ["k", "key"], "left_anti").withColumn("pair", F.lit(0).cast("long"))
+    many = join_dealt(dealt, crowd, ["k", "key"], "n").withColumn("own", F.pmod(F.xxhash64("fp", F.lit(5)), F.col("parts")))
+    pair = lambda o: F.least(F.col("own"), o) * F.col("parts") + F.greatest(F.col("own"), o)
+    many = many.withColumn("pair", F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: pair(o.cast("long")))))
+    return few.unionByName(many.select("k", "key", "fp", "pair"))
+
+
+def links(prints: DataFrame, radius: int = RADIUS, blocks: tuple[int, int] | None = None, part: int = PART) -> DataFrame:
     """(u, v) of distinct fingerprints: a forest per key whose union has all components."""
     import pyarrow as pa
 
@@ -203,66 +222,88 @@ def links(prints: DataFrame, radius: int = RADIUS, blocks: tuple[int, int] | Non
         signed = mask - (1 << 64) if mask >> 63 else mask
         keys.append(F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(signed).cast("long")).alias("key")))
     dealt = distinct.select("fp", F.explode(F.array(*keys)).alias("x")).select("x.k", "x.key", "fp")
-    dealt = dealt.repartition("k", "key").sortWithinPartitions("k", "key", "fp")
+    dealt = _dealt(dealt, part).select("k", "key", "pair", "fp")
+    dealt = dealt.repartition("k", "key", "pair").sortWithinPartitions("k", "key", "pair", "fp")
 
     def run(batches):
         held: list[np.ndarray] = []
 
         def flush(rows: np.ndarray):
-            change = (rows[1:, :2] != rows[:-1, :2]).any(axis=1)
+            change = (rows[1:, :3] != rows[:-1, :3]).any(axis=1)
             group = np.concatenate(([0], np.cumsum(change)))
-            a, b = near(rows[:, 2].view(np.uint64), group, radius)
-            return pa.RecordBatch.from_arrays([pa.array(rows[a, 2]), pa.array(rows[b, 2])], ["u", "v"])
+            a, b = near(rows[:, 3].view(np.uint64), group, radius)
+            return pa.RecordBatch.from_arrays([pa.array(rows[a, 3]), pa.array(rows[b, 3])], ["u", "v"])
 
         for batch in batches:
-            held.append(np.column_stack([batch.column(k).to_numpy().astype(np.int64) for k in range(3)]))
-            rows = np.concatenate(held)
+            rows = np.column_stack([batch.column(k).to_numpy().astype(np.int64) for k in range(4)])
+            if held and (rows[-1, :3] == held[0][-1, :3]).all():
+                held.append(rows)  # still one key: nothing is copied until it ends
+                continue
+            rows = np.concatenate([*held, rows])
             # the last key may go on in the next batch
-            ends = np.flatnonzero((rows[:, :2] != rows[-1, :2]).any(axis=1))
+            ends = np.flatnonzero((rows[:, :3] != rows[-1, :3]).any(axis=1))
             cut = ends[-1] + 1 if len(ends) else 0
             held = [rows[cut:]]
             if cut:
                 yield flush(np.ascontiguousarray(rows[:cut]))
         if held and len(held[0]):
-            yield flush(np.ascontiguousarray(held[0]))
+            yield flush(np.ascontiguousarray(np.concatenate(held)))
 
     return dealt.mapInArrow(run, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text",
                     blocks: tuple[int, int] | None = None) -> DataFrame:
-    """doc_id, fingerprint (hex), component_id (the least doc_id reachable over links), root, text_hash.
+    """doc_id, fingerprint (hex), component_id (the least doc_id reachable over links), root, t1, t2.
 
     Fingerprint links at ``radius`` or fewer differing bits. Texts without words share the
     fingerprint zero and are linked; repeated rows repeat; an empty table gives no rows. A
     null doc_id is a document of its own rows' component but never its least id, unless
-    the component has no other.
+    the component has no other. A very long text is hashed as a whole in one task; other
+    columns are not read.
     """
     prints = materialize(fingerprints(docs, id_col, text_col), "prints")
     roots = components(links(prints, radius, blocks))
-    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
     least = least.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
+        "fp", "least", "copies", F.coalesce("root", "fp").alias("root")
     )
     least = materialize(least, "classes")
-    names = least.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = least.join(names, "root").select("fp", "component_id", "root")
-    out = prints.join(named, "fp")
-    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "root", "text_hash")
+    # one large component, or one fingerprint of very many rows, makes no task large
+    names = materialize(least.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n")), "names")
+    named = join_dealt(least.drop("least"), names, ["root"], "n").select("fp", "component_id", "root", "copies")
+    named = materialize(named, "named")
+    discard(least, names)
+    out = join_dealt(prints, named, ["fp"], "copies")
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "root", "t1", "t2")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents``: fingerprints and components."""
-    return near_duplicates(table(spark, sf_dir, "documents")).drop("root", "text_hash")
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("root", "t1", "t2")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each component, the one with the least id; all columns as they were."""
+    """One row of each component, the one with the least id; all columns as they were.
+
+    Ids that tie go by the text's hash, then by the other columns that can be ordered, in
+    their order; so what stays depends on neither files nor tasks. A null id comes last.
+    Awkward rows otherwise as in ``near_duplicates``.
+    """
     found = materialize(near_duplicates(docs, id_col=id_col, text_col=text_col), "components")
-    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
-    best = found.groupBy("root").agg(F.min(order).alias("x")).select(F.col("x.doc_id").alias("_id"), F.col("x.text_hash").alias("_hash"))
-    same = docs[id_col].eqNullSafe(best["_id"]) & (F.xxhash64(docs[text_col]) == best["_hash"])
-    out = docs.join(best, same, "left_semi")
-    if not found.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
-        out = out.dropDuplicates([id_col, text_col])  # rows that repeat as a whole
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "t1", "t2")
+    best = found.groupBy("root").agg(F.min(order).alias("x")).select(F.col("x.doc_id").alias("_id"), F.col("x.t1").alias("_t1"), F.col("x.t2").alias("_t2"))
+    best = materialize(best, "best")
+    t1, t2 = text_key(docs[text_col])
+    out = docs.join(best, docs[id_col].eqNullSafe(best["_id"]) & (t1 == best["_t1"]) & (t2 == best["_t2"]), "left_semi")
+    ties = found.groupBy("doc_id", "t1", "t2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not ties.isEmpty():  # rows with one id and text
+        whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns if _orderable(docs.schema[c].dataType)]).alias("_order")
+        out = out.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), whole)
+        key = lambda c: F.col(f"_row.`{c}`")
+        out = out.groupBy(key(id_col), F.coalesce(key(text_col), F.lit(""))).agg(F.min_by("_row", "_order").alias("_row")).select("_row.*")
     return out
+
+
+def _orderable(kind) -> bool:
+    return kind.typeName() not in ("map", "variant")
