@@ -201,7 +201,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mo
 
 
 def train(docs: DataFrame, labels: DataFrame, column: str = "quality", limit: int = TRAIN_LIMIT) -> Additive:
-    """Fits on a bounded sample of labelled rows that are not held out."""
+    """Fits on a bounded sample of labelled rows that are not held out, one row an id; without any, scores are a half."""
     sample = labelled_sample(docs.select("doc_id", "text"), labels, column, limit)
     rows = features(sample, more=("label",)).collect()  # at most ``limit`` rows
     rows.sort(key=lambda r: (r["doc_id"], r["x"]))
@@ -210,7 +210,11 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "quality", limit: in
 
 
 def classify(docs: DataFrame, model: Additive, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, score, predicted per row. Null and empty texts get the score of no words; rows repeat as they come."""
+    """doc_id, score, predicted per row. Null and empty texts get the score of no words; rows repeat as they come.
+
+    A very long text is measured as a whole in one task; an empty table gives no rows; other
+    columns are not read.
+    """
     import pyarrow as pa
 
     sent = docs.sparkSession.sparkContext.broadcast(model)  # a few thousand numbers
@@ -225,7 +229,7 @@ def classify(docs: DataFrame, model: Additive, id_col: str = "doc_id", text_col:
 
 
 def keep_good(docs: DataFrame, model: Additive, text_col: str = "text", cut: float = 0.5) -> DataFrame:
-    """The rows whose score reaches ``cut``, all columns as they were; no shuffle."""
+    """The rows whose score reaches ``cut``, all columns as they were; no shuffle. Awkward rows as in ``classify``."""
     import pyarrow as pa
     import pyarrow.compute as pc
 

@@ -22,7 +22,6 @@ from kinfold.llm.common import held_out, labelled_sample, materialize, table
 
 #: At most this many labelled rows are collected to fit the weights.
 TRAIN_LIMIT = 20_000
-MAX_FEATURES = 4000
 CUT = 0.7
 #: What a character may stand for, with the channel's cost of writing it so.
 LOOKS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "+": "t", "|": "il"}
@@ -192,11 +191,11 @@ class Lexicon:
             (up if label else down).update(m)
         # both kinds: marks of toxic texts, and words that clear the same beginnings
         value = {k: abs(np.log(ratio(k, up, down))) * np.sqrt(up[k] + down[k]) for k in {*up, *down} if up[k] + down[k] >= 3}
-        chosen = sorted(value, key=lambda k: (-value[k], k))[:MAX_FEATURES]
+        chosen = sorted(value, key=lambda k: (-value[k], k))
         place = {k: i for i, k in enumerate(chosen)}
         row, col = [], []
         for i, m in enumerate(marks):
-            mine = [place[k] for k in m if k in place]
+            mine = sorted(place[k] for k in m if k in place)  # sums do not depend on the order of a set
             row += [i] * len(mine)
             col += mine
         row, col = np.array(row, int), np.array(col, int)
@@ -226,7 +225,8 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic", limit: int
     """The channel from all texts, the weights from a bounded sample of rows that are not held out.
 
     Stems that are more frequent among toxic texts are counted on the executors; only the
-    sampled texts' words with such a stem come to the driver.
+    sampled texts' words with such a stem come to the driver. Without labelled rows of both
+    kinds the score is their share; null texts have no words, repeated rows of an id count once.
     """
     import pyarrow as pa
 
@@ -256,10 +256,14 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic", limit: int
 
 
 def score(docs: DataFrame, model: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, score, predicted per row. Null and empty texts get the score of no words; rows repeat as they come."""
+    """doc_id, score, predicted per row. Null and empty texts get the score of no words; rows repeat as they come.
+
+    A very long text is restored and scored as a whole in one task, in linear time; an
+    empty table gives no rows; other columns are not read.
+    """
     import pyarrow as pa
 
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_FEATURES weights and 28**3 costs
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # 28**3 costs, and weights from at most ``TRAIN_LIMIT`` rows
 
     def run(batches):
         for b in batches:

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinfold.llm import bpe, decontam, graph, hilbert, html, quality, rules, simhash, substring, tokencount, toxicity
+from kinfold.llm.common import labelled_sample
 from kinfold.llm.queries import QUERIES, SQL
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -88,6 +89,38 @@ def test_measurements_do_not_depend_on_neighbours():
         assert np.allclose(together[k], alone[0]), p
 
 
+def plain_measures(text):
+    """FEATURES by plain Python, one text at a time."""
+    raw = text.encode()
+    words, lines = [w.encode() for w in WORD.findall(text)], re.findall(rb"[^\n]*\n|[^\n]+", raw)
+    n, size = max(1, len(words)), max(1, len(raw))
+    blanks = sum(c in b"\t\n\x0b\x0c\r " for c in raw)
+    share = lambda chars: sum(c in chars for c in raw) / size
+    return [
+        np.log1p(len(words)), (size - blanks) / n, share(bytes(range(65, 91))), share(b"0123456789"), share(b".,;:?!'\"()-"), share(b"#*$%&|<>"),
+        share(b"!"), share(b"|"), share(bytes(range(128, 256))), raw.count(b"\n") / n, len(set(words)) / n,
+        sum(a == b for a, b in zip(words, words[1:], strict=False)) / n, sum(w[-1:] in (b".", b"!", b"?") for w in words) / n,
+        sum(len(w) <= 3 for w in words) / n, len(set(lines)) / max(1, len(lines)),
+    ]
+
+
+def test_measurements_against_plain_python(texts):
+    sample = [t for _, t in texts] + ["", " ", "a", "one two two!\nx\nx\n", "ÄÖ|12 ## b. c? "]
+    data = [t.encode() for t in sample]
+    got = quality.measure(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+    for row, t in zip(got, sample, strict=True):
+        assert np.allclose(row, plain_measures(t)), t[:80]
+
+
+def test_sample_of_labelled_rows_is_bounded(spark):
+    docs = spark.range(1000).select(F.lit(0).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    many = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    labels = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    for limit in (1, 10, 500):
+        assert labelled_sample(docs.unionByName(many), labels, "quality", limit).count() <= limit
+    assert labelled_sample(docs, labels.limit(0), "quality", 10).count() == 0
+
+
 def test_additive_learns_an_interaction():
     rng = np.random.default_rng(0)
     x = rng.random((2000, 2))
@@ -370,8 +403,8 @@ def test_near_duplicates_awkward(spark, awkward, empty):
     assert simhash.keep_first(empty).count() == 0
 
 
-@pytest.mark.parametrize("blocks", [(5, 1), (6, 2), (8, 4)])
-def test_links_lose_nothing(spark, blocks):
+@pytest.mark.parametrize(("blocks", "part"), [((5, 1), simhash.PART), ((6, 2), 3), ((8, 4), 5)])
+def test_links_lose_nothing(spark, blocks, part):
     rng = random.Random(8)
     fps = []
     for _ in range(25):
@@ -383,11 +416,17 @@ def test_links_lose_nothing(spark, blocks):
     fps = sorted(set(fps))
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     df = spark.createDataFrame([(signed(x),) for x in fps], "fp long")
-    roots = {r.node: r.root for r in graph.components(simhash.links(df, blocks=blocks)).collect()}
+    roots = {r.node: r.root for r in graph.components(simhash.links(df, blocks=blocks, part=part)).collect()}
     got = [roots.get(signed(x), signed(x)) for x in fps]
     assert [got.index(g) for g in got] == [c for c in classes(fps)]
 
 
+def test_rows_that_tie_are_chosen_by_their_columns(spark):
+    rows = [(1, "a b", "z"), (1, "a b", "y"), (1, None, "x"), (1, "", "w"), (None, "c d e f g h", "v")]
+    kept = simhash.keep_first(spark.createDataFrame(rows, "doc_id int, text string, source string").repartition(3))
+    assert sorted(r.source for r in kept.collect()) == ["v", "x", "y"]  # null before empty
+
+
 def test_block_plans():
     for n in (0, 10, 10**6, 10**9, 10**12):
         blocks, kept = simhash.plan_blocks(n)
@@ -443,7 +482,7 @@ def test_perfect_hash():
 def test_digests(spark, sf, coder, texts, awkward, empty):
     v, other = coder
     got = {r.doc_id: r for r in QUERIES["op8_bpe"](spark, sf).collect()}
-    for i, t in texts[:60]:
+    for i, t in texts:
         ids = other.encode_ordinary(t)
         assert got[i].n_tokens == len(ids) and got[i].ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert got[i].decoded_sha256 == hashlib.sha256(t.encode()).hexdigest()
@@ -537,6 +576,29 @@ def test_deobfuscation_of_ordinary_disguises(spark):
         assert channel.restore(same) == same
 
 
+def test_decoding_against_all_readings(spark, docs):
+    from itertools import product
+
+    channel = toxicity.Channel(toxicity.trigram_counts(docs))
+
+    def cost_of(readings):
+        key, total, out = (0, 0), 0.0, ""
+        for x, extra in readings:
+            if x is None and not key[1]:
+                return None
+            total += extra
+            for c in (x or "").encode():
+                at = int(toxicity._CODE[c])
+                key, total = (key[1], at), total + float(channel.cost[key[0], key[1], at])
+            out += x or ""
+        return total + float(channel.cost[key[0], key[1], 0]), out
+
+    for text in ("1d10t", "st0pp", "idioot", "i d i 0 t", "a.b.c", "m0r0n", "$$h1t", "4ll", "b00k!", "a  b c", "3xtr4", "100", "crét1n", "looo0l"):
+        found = [c for c in map(cost_of, product(*channel.lattice(text))) if c]
+        best = min(c for c, _ in found)
+        assert min(c for c, out in found if out == channel.decode(text)) == pytest.approx(best), text
+
+
 def test_trigrams_count_everything(spark, awkward):
     texts = [(t or "") for _, t in AWKWARD]
     want = sum(len(t.encode()) + 1 for t in texts)
