@@ -218,6 +218,91 @@ def test_rendering(page, text):
     assert html.extract(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<table><tr><td rowspan=2>A<td>b<td>B<tr><td>c<td>d</table>", "A | b | B\n  | c | d"),
+        ("<table><tr><td rowspan=0>A<td>b<tr><td>c<tr><td>d</table>", "A | b\n  | c\n  | d"),
+        ("<table><tr><td colspan=2>wide cell<td>e<tr><td>1<td>2<td>3</table>", "wide cell | e\n1 | 2     | 3"),
+        ("<table><tr><td>日本<td>x<tr><td>abcdef<td>y</table>", "日本   | x\nabcdef | y"),
+        ("<table><tr><td><ul><li>p<li>q</ul><td>z</table>", "- p | z\n- q |"),
+        ("<table><tr><td><table><tr><td>1<td>2</table><td>z</table>", "1 | 2 | z"),
+        ("<textarea>a\n b&amp;</textarea>c", "a\n b&\nc"), ("<svg><title>t</title><text>s</text></svg>", "s"), ("<math><mi>x</mi></math>", "x"),
+        ("<details>no<summary>yes</summary>no</details><details open><summary>a</summary>b</details>", "yes\na\nb"),
+        ("<style>.a, p.b { display: none } #c{visibility:hidden}</style><p class='x a'>1<p class=b>2<p id=c>3<p>4", "4"),
+        ("<style>@media print { .a { display:none } } .b{display:none} .b{display:block}</style><p class=a>1<p class=b>2", "1\n\n2"),
+        ("<input value=go><input type=hidden value=no>", "go"), ("<a href=\"x>text", "text"), ("<a title='<b>'>x</a>", "x"),
+        ("<table>" * 30 + "<tr><td>deep", "deep"), ("<ul><li>" * 60 + "x", " " * 62 + "- x"),
+    ],
+)
+def test_layout(page, text):
+    assert html.extract(page) == text
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a " * 350_000, "<b>" * 140_000 + "x" + "</b>" * 140_000, "<i>" * 150_000 + "<p>a" * 130_000, "<a \"<b>\"" * 110_000 + "'>",
+     "<table><tr><td>x" * 60_000, "<table><tr>" + "<td rowspan=9999>x" * 30_000 + "<tr><td>y" * 40_000, "<ul><li>x" * 100_000,
+     "<table>" + "<tr><td colspan=1000>x<td>y" * 30_000, "<table><tr><td>" + "w" * 500_000 + "<td>z" + "<tr><td>a<td>b" * 30_000],
+)
+def test_time_and_size_grow_with_the_page(page):
+    import time
+
+    began = time.process_time()
+    out = html.extract(page)
+    assert time.process_time() - began < 40 and len(out) < 12 * len(page)
+
+
+def drawn(rng, depth):
+    """A random page: its source, and its lines by plain recursion, where None is a blank line if text stands on both sides."""
+    word = lambda: " ".join(rng.choice(["ab", "c&d", "é", "x<y", "12"]) for _ in range(rng.randrange(1, 4)))
+    source, lines = "", []
+    for _ in range(rng.randrange(1, 4)):
+        kind = rng.choice(["div", "p", "ul", "ol", "table", "pre", "hidden", "section"] if depth else ["div", "p", "pre"])
+        text = word()
+        inline = text.replace("&", "&amp;").replace("<", "&lt;").replace(" ", rng.choice([" ", "\n ", " <b></b>"]))
+        if kind in ("div", "section") and depth and rng.random() < 0.5:
+            inside, more = drawn(rng, depth - 1)
+            source += f"<{kind}>{inside}</{kind}>"
+            lines += more
+        elif kind in ("div", "section"):
+            source += f"<{kind}>{inline}</{kind}>"
+            lines.append(text)
+        elif kind == "p":
+            source += f"<p>{inline}" + rng.choice(["</p>", ""]) + ("<div></div>" if rng.random() < 0.2 else "")
+            lines += [None, text, None]
+        elif kind == "pre":
+            source += "<pre>" + text.replace("&", "&amp;").replace("<", "&lt;") + "\n  z</pre>"
+            lines += [None, text, "  z", None]
+        elif kind in ("ul", "ol"):
+            items = [word() for _ in range(rng.randrange(1, 4))]
+            close = rng.choice(["</li>", ""])
+            source += f"<{kind}>" + "".join("<li>" + x.replace("&", "&amp;").replace("<", "&lt;") + close for x in items) + f"</{kind}>"
+            lines += [None, *(("- " if kind == "ul" else f"{k}. ") + x for k, x in enumerate(items, 1)), None]
+        elif kind == "table":
+            n = rng.randrange(1, 4)
+            rows = [[word() for _ in range(n)] for _ in range(rng.randrange(1, 4))]
+            close = rng.choice(["</td>", ""])
+            cells = lambda r: "".join("<td>" + x.replace("&", "&amp;").replace("<", "&lt;") + close for x in r)
+            source += "<table>" + "".join("<tr>" + cells(r) for r in rows) + "</table>"
+            wide = [max(len(r[k]) for r in rows) for k in range(n)]
+            lines += [None, *(" | ".join(x.ljust(w) for x, w in zip(r, wide, strict=True)).rstrip() for r in rows), None]
+        else:
+            source += f"<div style='display:none'>{inline}</div><script>{text}</script><!-- {word()} -->"
+    return source, lines
+
+
+def test_rendering_of_drawn_pages():
+    rng = random.Random(11)
+    for _ in range(400):
+        source, lines = drawn(rng, 2)
+        want = []
+        for k, x in enumerate(lines):
+            if x is not None:
+                want += [""] * (bool(want) and None in lines[max(j for j in range(k) if lines[j] is not None) : k]) + [x]
+        assert html.extract(f"<html><body>{source}</body></html>") == "\n".join(want), source
+
+
 def test_pages(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     got = QUERIES["op4_html"](spark, sf).collect()
