@@ -1,31 +1,80 @@
 """Token counts of documents in flat token files, by a separator scan.
 
 The files are nothing but token ids, one after another, with an end-of-document id after
-each text; no index says where documents begin. Blocks of a file are searched for the id
-on their own, and what runs across block borders is stitched by a prefix scan over block
-summaries, in two levels so that one huge file is no single task.
+each text; no index says where documents begin. Files are read by ranges of bytes, each
+searched for the id on its own with vectorised comparisons; what runs across borders is
+stitched by a prefix scan over block summaries, in two levels so that one huge file is no
+single task.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import materialize, shared_dir, table
+from kinfold.llm.common import materialize, new_path, table
 
-BLOCK_BYTES, SUPER = 1 << 20, 1024
+BLOCK_BYTES, SUPER = 1 << 22, 1024
+_FOUND = ["file", "block", "n", "ends", "first", "after", "inner"]
 
 
-def read_token_files(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(file, block, data) of the files at a path. Spark reads files below 2 GB this way."""
-    raw = spark.read.format("binaryFile").load(path)
-    n = F.ceil(F.col("length") / block_bytes).cast("int")
-    at = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))
-    each = raw.select(F.col("path").alias("file"), "content", F.explode(at).alias("block"))
-    return each.select("file", F.col("block").cast("long").alias("block"), F.substring("content", F.col("block") * block_bytes + 1, F.lit(block_bytes)).alias("data"))
+def _opened(uri: str):
+    """(file system, path) of a URI, for readers and writers outside Spark: local or mounted files, HDFS, S3."""
+    from pyarrow import fs
+
+    uri = re.sub(r"^s3[an]:", "s3:", re.sub(r"^file:/+", "/", uri))
+    return fs.FileSystem.from_uri(uri)
+
+
+def _searched(ids: np.ndarray, eod: int) -> tuple:
+    """Of a block: ids, separators, place of the first, the place after the last, and the lengths between."""
+    ends = np.flatnonzero(ids == eod)
+    if not len(ends):
+        return len(ids), 0, None, None, []
+    return len(ids), len(ends), int(ends[0]), int(ends[-1]) + 1, (np.diff(ends) - 1).astype(np.int64)
+
+
+def _found(keys: list, rows: list):
+    import pyarrow as pa
+
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+    return pa.RecordBatch.from_arrays([*keys, *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], _FOUND)
+
+
+def count_in_files(spark: SparkSession, path: str, eod: int, dtype: str = "<u2", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(file, ordinal, n_tokens) of each document of the flat files at a path; see ``count_documents``.
+
+    Spark lists the files; each is read by ranges, wherever Arrow's file systems reach, so
+    a file of any size is dealt to as many tasks as it has ranges.
+    """
+    size = np.dtype(dtype).itemsize
+    step = max(1, block_bytes // size) * size
+    # without ``content`` nothing of the files is read here
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+    odd = files.where(F.col("length") % size != 0).first()
+    if odd:
+        raise ValueError(f"{odd['path']}: {odd['length']} bytes are no whole number of {size}-byte ids")
+    last = F.expr(f"greatest(cast(0 as bigint), (length - 1) div {step})")
+    ranges = files.select(F.col("path").alias("file"), "length", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("block"))
+    ranges = ranges.repartition(F.xxhash64("file", "block"))
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            rows = []
+            for file, length, block in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                system, at = _opened(file)
+                with system.open_input_file(at) as f:
+                    data = f.read_at(min(step, length - block * step), block * step)
+                rows.append(_searched(np.frombuffer(data, dtype), eod))
+            yield _found([b.column(0), b.column(2).cast(pa.int64())], rows)
+
+    return _stitched(ranges.mapInArrow(run, "file string, block long, n long, ends long, first long, after long, inner array<long>"))
 
 
 def count_documents(blocks: DataFrame, eod: int, dtype: str = "<u2") -> DataFrame:
@@ -33,25 +82,21 @@ def count_documents(blocks: DataFrame, eod: int, dtype: str = "<u2") -> DataFram
 
     ``blocks`` has file, block (ascending along the file) and data (whole ids). Two ids in
     a row enclose an empty document; ids after the last separator are a document too,
-    unless there are none. Null data are empty; a file without ids has no documents.
+    unless there are none. Null data are empty; a file without ids has no documents; an
+    empty table gives no rows. Other columns are not read.
     """
-    import pyarrow as pa
 
     def run(batches):
         for b in batches:
-            rows = []
-            for data in b.column(2):
-                ids = np.frombuffer(data.as_py() or b"", dtype)
-                ends = np.flatnonzero(ids == eod)
-                rows.append((len(ids), len(ends), int(ends[0]) if len(ends) else None, int(ends[-1]) + 1 if len(ends) else None,
-                             (np.diff(ends) - 1).astype(np.int64)))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-            cols = [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], ["file", "block", "n", "ends", "first", "after", "inner"])
+            yield _found([b.column(0), b.column(1)], [_searched(np.frombuffer(d.as_py() or b"", dtype), eod) for d in b.column(2)])
 
     blocks = blocks.select("file", F.col("block").cast("long").alias("block"), "data")
     kind = blocks.schema["file"].dataType.simpleString()
-    found = blocks.mapInArrow(run, f"file {kind}, block long, n long, ends long, first long, after long, inner array<long>")
+    return _stitched(blocks.mapInArrow(run, f"file {kind}, block long, n long, ends long, first long, after long, inner array<long>"))
+
+
+def _stitched(found: DataFrame) -> DataFrame:
+    """Documents from block summaries, by sums within runs of ``SUPER`` blocks and over such runs."""
     found = materialize(found.select("*", F.expr(f"block div {SUPER}").alias("super")), "blocks")
     whole = Window.partitionBy("file").orderBy("super")
     before = whole.rowsBetween(Window.unboundedPreceding, -1)
@@ -79,58 +124,69 @@ def count_documents(blocks: DataFrame, eod: int, dtype: str = "<u2") -> DataFram
     return closed.unionByName(rest)
 
 
-def token_files(docs: DataFrame, ranks: dict[bytes, int], pattern: str, eod: int, id_col: str = "doc_id",
-                text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, DataFrame]:
-    """Flat token streams of ``docs``, a file per task, in the shared folder: blocks, and the ids in order.
+def write_token_files(docs: DataFrame, encoder, eod: int, path: str, dtype: str = "<u2", id_col: str = "doc_id",
+                      text_col: str = "text") -> DataFrame:
+    """Writes ``docs`` as flat token files, one a task, and returns (file, ordinal, doc_id): which document stands where.
 
-    A block ends where its bytes are full, wherever in a document that is.
+    ``encoder``: makes, in a worker, the function from a text to its ids. A file is written
+    beside its name and moved there when it is whole, so tasks that are run again do no
+    harm. Null and empty texts are empty documents, repeated rows repeat, an empty table
+    gives no files. Ids may be of any type. Texts are encoded one by one, however long.
     """
     import pyarrow as pa
 
-    sent = docs.sparkSession.sparkContext.broadcast((ranks, pattern))  # one vocabulary
+    spark = docs.sparkSession
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(at)
 
     def run(batches):
-        import tiktoken
         from pyspark import TaskContext
 
-        table_, pattern_ = sent.value
-        coder = tiktoken.Encoding("flat", pat_str=pattern_, mergeable_ranks=table_, special_tokens={})
-        file, block, rest, written = TaskContext.get().partitionId(), 0, b"", 0
-        kinds = [pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64())]
-
-        def row(data: bytes, ids: list):
-            cols = [[file], [block], [data], [written], [ids]]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["file", "block", "data", "first", "ids"])
-
-        ids: list = []
+        encode, out, first = encoder(), None, 0  # sent with the function, which Spark broadcasts where it is large
+        name = f"tokens-{TaskContext.get().partitionId():06d}.bin"
+        system, folder = _opened(path)
+        partly = f"{folder}/_{name}.{uuid.uuid4().hex}"
         for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                rest += np.array([*coder.encode_ordinary(text or ""), eod], "<u2").tobytes()
-                ids.append(doc)
-                while len(rest) >= block_bytes:
-                    yield row(rest[:block_bytes], ids)
-                    rest, block, written, ids = rest[block_bytes:], block + 1, written + len(ids), []
-        if rest or ids:
-            yield row(rest, ids)
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    made = rows.mapInArrow(run, "file int, block long, data binary, first long, ids array<long>")
-    spark = docs.sparkSession
-    path = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
-    made.write.option("compression", "zstd").parquet(path)
-    made = spark.read.schema(made.schema).parquet(path)
-    order = made.select("file", "first", F.posexplode("ids").alias("k", "doc_id"))
-    return made.select("file", "block", "data"), order.select("file", (F.col("first") + F.col("k")).alias("ordinal"), "doc_id")
+            if not b.num_rows:
+                continue
+            out = out or system.open_output_stream(partly)
+            for text in b.column(1):
+                out.write(np.array([*encode(text.as_py() or ""), eod], dtype).tobytes())
+            n = b.num_rows
+            yield pa.RecordBatch.from_arrays([pa.array([name] * n), pa.array(range(first, first + n), pa.int64()), b.column(0)], ["file", "ordinal", "doc_id"])
+            first += n
+        if out:
+            out.close()
+            system.move(partly, f"{folder}/{name}")
+
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    made = rows.mapInArrow(run, f"file string, ordinal long, doc_id {rows.schema['doc_id'].dataType.simpleString()}")
+    return materialize(made, "order")
+
+
+class TiktokenEncoder:
+    """Makes the encoding function of a rank file's vocabulary."""
+
+    def __init__(self, path: str, pattern: str):
+        import base64
+
+        with open(path, "rb") as f:
+            self.ranks = {base64.b64decode(t): int(i) for t, i in map(bytes.split, f)}
+        self.pattern = pattern
+
+    def __call__(self):
+        import tiktoken
+
+        return tiktoken.Encoding("flat", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens={}).encode_ordinary
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` as flat token files, counted without an index, beside their ids."""
-    import base64
-
     import public_tokenizers as tokenizers
 
-    with open(tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
-        ranks = {base64.b64decode(t): int(i) for t, i in map(bytes.split, f)}
+    encoder = TiktokenEncoder(tokenizers.path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN)
     eod = 50256  # free in this vocabulary
-    blocks, order = token_files(table(spark, sf_dir, "documents"), ranks, tokenizers.PATTERN, eod)
-    return count_documents(blocks, eod).join(order, ["file", "ordinal"]).select("doc_id", "n_tokens", "file", "ordinal")
+    path = new_path(spark, "tokens")
+    order = write_token_files(table(spark, sf_dir, "documents"), encoder, eod, path)
+    counted = count_in_files(spark, path, eod).withColumn("file", F.substring_index("file", "/", -1))
+    return counted.join(order, ["file", "ordinal"]).select("doc_id", "n_tokens", "file", "ordinal")

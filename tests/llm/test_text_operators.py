@@ -340,10 +340,25 @@ def test_token_counts(spark, monkeypatch):
     assert tokencount.count_documents(blocks.limit(0), 999).count() == 0
 
 
-def test_token_files(spark, tmp_path):
+@pytest.mark.parametrize("block_bytes", [2, 4, 1 << 20])
+def test_token_files(spark, tmp_path, block_bytes):
     np.array([1, 2, 9, 9, 3], "<u2").tofile(tmp_path / "a.bin")
-    blocks = tokencount.read_token_files(spark, str(tmp_path / "a.bin"), block_bytes=4)
-    assert sorted(r.n_tokens for r in tokencount.count_documents(blocks, 9).collect()) == [0, 1, 2]
+    np.array([9], "<u2").tofile(tmp_path / "b.bin")
+    np.array([], "<u2").tofile(tmp_path / "c.bin")
+    got = tokencount.count_in_files(spark, str(tmp_path), 9, block_bytes=block_bytes).collect()
+    assert sorted((r.file[-5:], r.ordinal, r.n_tokens) for r in got) == [("a.bin", 0, 2), ("a.bin", 1, 0), ("a.bin", 2, 1), ("b.bin", 0, 0)]
+    (tmp_path / "d.bin").write_bytes(b"123")
+    with pytest.raises(ValueError, match="d.bin"):
+        tokencount.count_in_files(spark, str(tmp_path), 9)
+
+
+def test_token_files_of_awkward_rows(spark, tmp_path, awkward, empty):
+    order = tokencount.write_token_files(awkward, lambda: lambda t: [min(ord(c), 9999) for c in t], 10_000, str(tmp_path / "x"))
+    counted = tokencount.count_in_files(spark, str(tmp_path / "x"), 10_000, block_bytes=4096).withColumn("file", F.substring_index("file", "/", -1))
+    got = sorted((str(r.doc_id), r.n_tokens) for r in counted.join(order, ["file", "ordinal"]).collect())
+    assert got == sorted((str(i), len(t or "")) for i, t in AWKWARD)
+    assert tokencount.write_token_files(empty, lambda: list, 10_000, str(tmp_path / "y")).count() == 0
+    assert tokencount.count_in_files(spark, str(tmp_path / "y"), 10_000).count() == 0
 
 
 def test_token_counts_of_documents(spark, sf, texts):
