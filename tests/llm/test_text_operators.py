@@ -640,6 +640,49 @@ def test_shards(awkward, empty, shards):
     assert hilbert.hilbert_shards(empty, shards).count() == 0
 
 
+def test_shards_against_a_plain_sort(spark, sf):
+    docs = [r.asDict() for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    table, n = hilbert.curve_table(3), len(docs)
+    size = lambda d: len((d["text"] or "").encode()) + 16
+
+    def cell(value, values):
+        return 0 if value is None else 32 * sum(v < value for v in values if v is not None) // sum(v is not None for v in values)
+
+    sizes, sources, langs = ([f(d) for d in docs] for f in (size, lambda d: d["source"], lambda d: d["lang"]))
+
+    def place(d):
+        at = [cell(size(d), sizes), cell(d["source"], sources), cell(d["lang"], langs)]
+        state = h = 0
+        for b in reversed(range(5)):
+            digit, state = table[state * 8 + sum((x >> b & 1) << k for k, x in enumerate(at))]
+            h = h * 8 + digit
+        return h
+
+    order = sorted((place(d), zlib.crc32((d["text"] or "").encode()), size(d), d["doc_id"]) for d in docs)
+    want = []
+    for k in range(40):
+        run = n // 40 + (k < n % 40)
+        want += [(o[3], k, j) for j, o in enumerate(order[len(want) : len(want) + run])]
+    got = QUERIES["op9_hilbert"](spark, sf).collect()
+    assert sorted((r.doc_id, r.shard, r.slot) for r in got) == sorted(want)
+    assert {r.law for r in got} == {"rows"} and {r.grown_shard for r in got} == {None}
+
+
+def test_shard_files_and_their_ranges(spark, sf, tmp_path, awkward, empty):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    ranges = hilbert.write_shards(docs, str(tmp_path / "a"), shards=8)
+    assert {r.rows for r in ranges.collect()} == {docs.count() // 8}
+    assert len(list((tmp_path / "a" / "data").glob("shard=*/*.parquet"))) == 8
+    for dimension, least, greatest in (("lang", "de", "de"), ("size", 16, 400), ("source", "a", "m")):
+        got = sorted(r.doc_id for r in hilbert.read_shards(spark, str(tmp_path / "a"), dimension, least, greatest).collect())
+        value = F.octet_length("text") + 16 if dimension == "size" else F.col(dimension)
+        assert got == sorted(r.doc_id for r in docs.where(value.between(least, greatest)).collect())
+    assert len(hilbert.shards_for(ranges, "size", 16, 200)) < 8
+    for k, rows in enumerate((awkward, empty)):
+        hilbert.write_shards(rows, str(tmp_path / f"x{k}"), shards=3)
+        assert k or spark.read.parquet(str(tmp_path / f"x{k}/data")).count() == len(AWKWARD)
+
+
 # 10 --------------------------------------------------------------------------------------
 
 
