@@ -45,18 +45,18 @@ def shared_dir(spark: SparkSession) -> str:
 _written: list[list[str]] = []
 
 
-def new_path(spark: SparkSession, tag: str) -> str:
-    """A path in the shared folder that nothing else uses; it goes when the ``scratch`` round it ends."""
+def new_path(spark: SparkSession, tag: str, keep: bool = False) -> str:
+    """A path in the shared folder that nothing else uses; unless kept, it goes when the ``scratch`` round it ends."""
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    if _written:
+    if _written and not keep:
         _written[-1].append(path)
     return path
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+def materialize(df: DataFrame, tag: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    path = new_path(spark, tag)
+    path = new_path(spark, tag, keep)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_at = path
@@ -76,7 +76,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Deletes at its end what ``materialize`` wrote inside; the result has to be written outside by then."""
+    """Deletes at its end what ``materialize`` wrote inside, but for what it was told to keep: the written result."""
     _written.append([])
     try:
         yield
