@@ -5,17 +5,19 @@ Names follow the operators; every computed column has the same name on both side
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.functions import similarity as sim
-from kinfold.functions.text import parse_id_list, tokens, translit
+from kinfold.functions.text import fold, parse_id_list, tokens, translit
 from kinfold.operators import blocking, features, learn, metrics, normalize, pairs, sampling, validate
+from kinfold.plans.record_sql import CANDIDATES, FEATURES, PROCESSED, RECORDS, fold_token, fuzzy_sql
 from kinfold.plans.views import DOC, PART, ent_doc, ent_part, of_source
 from kinfold.sources.tsv import keep_first
 
+NAME_COLUMNS = ("name_clean", "name_core", "name_legal_form", "name_dba", "name_sorted", "name_nospace", "name_translit", "name_acronym", "name_first_token", "name_n_tokens")
+ADDRESS_COLUMNS = ("addr_clean", "addr_sorted", "addr_words", "addr_numbers", "addr_translit", "addr_postcode", "addr_landmark", "addr_city_guess", "addr_n_tokens", "addr_missing")
+
 QUERIES: dict = {}
 SQL: dict = {}
 
@@ -56,32 +58,14 @@ def source_of_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ent_part(spark, sf_dir).select("entity_id", F.substring_index("entity_id", "-", 1).alias("source"))
 
 
-@query(f"""{_P}, t AS (SELECT entity_id, string_split(lower(p_name), ' ') AS t, p_size, p_type FROM e)
-SELECT entity_id, array_to_string(t, ' ') AS name_core, array_to_string(list_sort(t), ' ') AS name_sorted,
-  array_to_string(t, '') AS name_nospace, array_to_string(list_transform(t, lambda x: x[1]), '') AS name_acronym,
-  t[1] AS name_first_token, len(t)::INTEGER AS name_n_tokens,
-  CASE p_size % 6 WHEN 0 THEN 'inc' WHEN 1 THEN 'pvt ltd' WHEN 2 THEN 'llc' WHEN 3 THEN 'co' WHEN 4 THEN '' ELSE 'ltd' END AS name_legal_form,
-  CASE p_size % 6 WHEN 4 THEN lower(p_type) || ' house' ELSE '' END AS name_dba
-FROM t""")
+@query(f"{RECORDS} SELECT entity_id, {', '.join(NAME_COLUMNS)} FROM r")
 def normalize_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names: trade name and legal form split off, the core in its several forms."""
-    out = normalize.normalize_names(ent_part(spark, sf_dir).select("entity_id", "business_name"))
-    return out.select("entity_id", "name_core", "name_sorted", "name_nospace", "name_acronym", "name_first_token", "name_n_tokens", "name_legal_form", "name_dba")
-
-
-def _fold(x: str) -> str:
-    """The transliteration of a token in SQL, but for repeated characters."""
-    for a, b in (("ph", "f"), ("ck", "k"), ("q", "k")):
-        x = f"replace({x}, '{a}', '{b}')"
-    x = f"regexp_replace({x}, 'aa|ah$', 'a', 'g')"
-    for a, b in (("ee", "i"), ("oo", "u"), ("ou", "u"), ("au", "o"), ("ow", "o"), ("th", "t"), ("dh", "d"), ("bh", "b"),
-                 ("kh", "k"), ("gh", "g"), ("sh", "s"), ("ch", "c")):
-        x = f"replace({x}, '{a}', '{b}')"
-    return f"regexp_replace({x}, 'y$', 'i')"
+    return normalize.normalize_names(ent_part(spark, sf_dir).select("entity_id", "business_name")).select("entity_id", *NAME_COLUMNS)
 
 
 @query(f"""WITH t AS (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS w FROM part),
-f AS (SELECT p_partkey, w, {_fold('w')} AS x FROM t)
+f AS (SELECT p_partkey, w, {fold_token('w')} AS x FROM t)
 SELECT DISTINCT w AS token, CASE WHEN length(w) <= 2 OR regexp_matches(w, '^[0-9]+$') THEN w ELSE
   array_to_string(list_filter(string_split(x, ''), lambda c, i: i = 1 or c <> string_split(x, '')[i - 1]), '') END AS folded FROM f""")
 def name_translit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,16 +74,17 @@ def name_translit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("token", translit(F.col("token")).alias("folded"))
 
 
-@query(f"""{_P} SELECT entity_id,
-  CASE p_partkey % 5 WHEN 0 THEN CASE WHEN p_partkey % 7 % 3 = 1 THEN '' ELSE '62704' END WHEN 1 THEN '400001'
-    WHEN 2 THEN CASE WHEN p_partkey % 7 % 3 = 1 THEN '' ELSE '75001' END ELSE '' END AS addr_postcode,
-  CASE WHEN p_partkey % 5 = 1 THEN 'sbi atm' ELSE '' END AS addr_landmark,
-  CASE p_partkey % 7 % 3 WHEN 0 THEN 'us' WHEN 1 THEN 'india' ELSE 'utopia' END AS country_norm,
-  0 AS addr_missing FROM e""")
+@query(f"{RECORDS} SELECT entity_id, country_norm, {', '.join(ADDRESS_COLUMNS)} FROM r")
 def normalize_address(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Postcodes by country, landmarks, and countries as an open set."""
+    """Addresses by country, in all their forms, and countries as an open set."""
     e = ent_part(spark, sf_dir).select("entity_id", "business_address", normalize.normalize_country(F.col("country")).alias("country_norm"))
-    return normalize.normalize_addresses(e).select("entity_id", "addr_postcode", "addr_landmark", "country_norm", "addr_missing")
+    return normalize.normalize_addresses(e).select("entity_id", "country_norm", *ADDRESS_COLUMNS)
+
+
+@query("SELECT doc_id, lower(strip_accents(text)) AS folded FROM documents")
+def fold_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts in four languages without accents, in lower case."""
+    return _table(spark, sf_dir, "documents").select("doc_id", fold(F.col("text")).alias("folded"))
 
 
 @query(f"{_D} SELECT entity_id, CASE lang WHEN 'fr' THEN 'france' ELSE lang END AS country_norm FROM e")
@@ -107,13 +92,25 @@ def country_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ent_doc(spark, sf_dir).select("entity_id", normalize.normalize_country(F.col("country")).alias("country_norm"))
 
 
-@query()
+@query(PROCESSED)
 def preprocess_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 31 columns of processed records."""
     e = ent_part(spark, sf_dir).select("entity_id", "business_name", "business_address", "country")
     return normalize.preprocess_source(e)
 
 
+@query(f"{RECORDS} SELECT country_norm AS value, count(*) AS n FROM r GROUP BY 1")
+def country_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records per country, as in the profile of a source."""
+    return metrics.value_counts(_processed(spark, sf_dir), "country_norm")
+
+
+@query(f"{RECORDS} SELECT entity_id, name_core, addr_clean FROM r ORDER BY entity_id LIMIT 5")
+def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first records of a profile, a report of five rows."""
+    return metrics.preview(_processed(spark, sf_dir), "entity_id", ("name_core", "addr_clean"))
+
+
 # keys and candidates ---------------------------------------------------------------------
 
 
@@ -160,9 +157,10 @@ def block_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocking.exact_block(of_source(e, 1), of_source(e, 2, 3), "bk_name_prefix", 4)
 
 
-_SIG = f"""{_D}, g AS (
-  SELECT entity_id, unnest(CASE WHEN business_name = '' THEN [''] ELSE
-    list_distinct(list_transform(generate_series(1, length(business_name) + 2), lambda i: substring('  ' || business_name || '  ', i, 3))) END) AS g FROM e),
+#: Trigrams from the list of characters: SQL's substring walks a text from its start.
+_SIG = f"""{_D}, ch AS (SELECT entity_id, business_name, list_concat([' ', ' '], string_split(business_name, ''), [' ', ' ']) AS ch FROM e),
+g AS (SELECT DISTINCT entity_id, unnest(CASE WHEN business_name = '' THEN [''] ELSE
+    list_transform(generate_series(1, len(ch) - 2), lambda i: ch[i] || ch[i + 1] || ch[i + 2]) END) AS g FROM ch),
 h AS (SELECT entity_id, ('0x' || substring(md5(g), 1, 8))::BIGINT AS h FROM g),
 s AS (SELECT entity_id, i, min(xor(h, (i * 2654435761) & 4294967295)) AS v FROM h, generate_series(0, 127) AS q(i) GROUP BY entity_id, i),
 sig AS (SELECT entity_id, list(v ORDER BY i) AS sig FROM s GROUP BY entity_id)"""
@@ -174,11 +172,6 @@ def _names(spark, sf_dir) -> DataFrame:
     return ent_doc(spark, sf_dir).select("entity_id", F.col("business_name").alias("name_nospace"))
 
 
-def _texts(spark, sf_dir) -> DataFrame:
-    """Documents under their whole texts."""
-    return ent_doc(spark, sf_dir).select("entity_id", F.col("text").alias("name_nospace"))
-
-
 @query(f"{_SIG} SELECT entity_id, array_to_string(sig, ',') AS signature FROM sig")
 def minhash_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocking.signatures(_names(spark, sf_dir)).select("entity_id", F.array_join("sig", ",").alias("signature"))
@@ -202,26 +195,15 @@ def lsh_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def lsh_candidates_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates by the whole text, with the first 500 of a record verified."""
-    e = _texts(spark, sf_dir)
+    e = _names(spark, sf_dir)
     return blocking.lsh_block(of_source(e, 1), of_source(e, 2, 3))
 
 
-@query()
-def minhash_signature_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Signatures of the whole texts; ``minhash_signature`` and its SQL take names of 40 characters."""
-    return blocking.signatures(_texts(spark, sf_dir)).select("entity_id", F.array_join("sig", ",").alias("signature"))
-
-
-@query()
-def lsh_bands_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blocking.bands(blocking.signatures(_texts(spark, sf_dir)))
-
-
-@query()
-def lsh_candidates_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """MinHash candidates by the whole text, every one verified."""
-    e = _texts(spark, sf_dir)
-    return blocking.lsh_block(of_source(e, 1), of_source(e, 2, 3), cap=None)
+@query(CANDIDATES)
+def generate_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five production keys and MinHash over all processed records."""
+    p = _processed(spark, sf_dir)
+    return blocking.generate_candidates(*[of_source(p, k) for k in (1, 2, 3)])
 
 
 # sources, sampling -----------------------------------------------------------------------
@@ -285,11 +267,15 @@ def number_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("o_orderkey", sim.number_overlap(a, F.col("o_orderkey").cast("string")).alias("sim"))
 
 
-@query()
+_KINDS = (("ratio", "ratio"), ("token_sort", "sort"), ("token_set", "set"), ("partial", "partial"))
+
+
+@query(f"{_NAMES}, " + fuzzy_sql(" UNION ALL ".join(f"SELECT '{k}' AS kind, a, b FROM pr" for _, k in _KINDS))
+       + "SELECT a, b, " + ", ".join(f"round(max(v) FILTER (kind = '{k}'), 9) AS {n}" for n, k in _KINDS) + " FROM fuzzy GROUP BY a, b")
 def fuzzy_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four fuzzy ratios of all pairs of part names that begin alike."""
     p = _name_pairs(spark, sf_dir)
-    return p.select("a", "b", *[sim.FUZZY[k]("a", "b").alias(k) for k in ("ratio", "token_sort", "token_set", "partial")])
+    return p.select("a", "b", *[F.round(sim.FUZZY[n]("a", "b"), 9).alias(n) for n, _ in _KINDS])
 
 
 def _processed(spark, sf_dir) -> DataFrame:
@@ -308,18 +294,22 @@ def pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("s1_id", "candidate_id", "name_nospace_exact", "name_nospace_lev", "name_missing_1", "name_missing_2")
 
 
-@query()
+@query(FEATURES)
 def pair_features_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 42 features, real numbers rounded to nine digits (their mean to seven)."""
     p, found = _processed(spark, sf_dir), _pairs(spark, sf_dir).select("s1_id", "candidate_id")
-    return features.build_feature_matrix(found, of_source(p, 1), of_source(p, 2), of_source(p, 3))
+    out = features.build_feature_matrix(found, of_source(p, 1), of_source(p, 2), of_source(p, 3))
+    digits = lambda c: 7 if c == "name_addr_mean" else 9
+    return out.select(*[F.round(c, digits(c)).alias(c) if t == "double" else F.col(c) for c, t in out.dtypes])
 
 
 # truth, labels, metrics ------------------------------------------------------------------
 
-#: Truth: documents with the same text. Candidates: documents with the same first 20 characters.
+#: Truth: documents with the same text. Candidates: documents of one language with the same distinct words, in any order and case.
 _G = f"""{_D}, gt AS (SELECT a.entity_id AS s1_id, b.entity_id AS match_id FROM e a JOIN e b ON a.text = b.text
   WHERE a.entity_id LIKE 'S1-%' AND b.entity_id NOT LIKE 'S1-%'),
-c AS (SELECT DISTINCT a.entity_id AS s1_id, b.entity_id AS candidate_id FROM e a JOIN e b ON substring(a.text, 1, 20) = substring(b.text, 1, 20) AND a.lang = b.lang
+ek AS (SELECT *, array_to_string(list_sort(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> ''))), ' ') AS key FROM e),
+c AS (SELECT DISTINCT a.entity_id AS s1_id, b.entity_id AS candidate_id FROM ek a JOIN ek b ON a.key = b.key AND a.lang = b.lang
   WHERE a.entity_id LIKE 'S1-%' AND b.entity_id NOT LIKE 'S1-%'),
 s1 AS (SELECT entity_id AS s1_id FROM e WHERE entity_id LIKE 'S1-%')"""
 
@@ -337,12 +327,6 @@ def _truth(spark, sf_dir) -> DataFrame:
 
 
 def _candidates(spark, sf_dir) -> DataFrame:
-    k = F.concat_ws("|", F.substring("text", 1, 20), "lang").alias("name_sorted")
-    e = ent_doc(spark, sf_dir).select("entity_id", k)
-    return blocking.exact_block(of_source(e, 1), of_source(e, 2, 3), "name_sorted")
-
-
-def _whole_candidates(spark, sf_dir) -> DataFrame:
     """Documents of one language whose whole texts have the same distinct words, in any order and case."""
     words = F.array_remove(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), "")
     k = F.concat_ws("|", F.array_join(F.array_sort(F.array_distinct(words)), " "), "lang").alias("name_sorted")
@@ -356,16 +340,16 @@ def truth_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"{_G} SELECT c.s1_id, c.candidate_id, (gt.s1_id IS NOT NULL)::INTEGER AS label FROM c LEFT JOIN gt ON c.s1_id = gt.s1_id AND c.candidate_id = gt.match_id")
-def label_join(spark: SparkSession, sf_dir: str, candidates=_candidates) -> DataFrame:
-    return pairs.assign_labels(candidates(spark, sf_dir), _truth_pairs(spark, sf_dir))
+def label_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.assign_labels(_candidates(spark, sf_dir), _truth_pairs(spark, sf_dir))
 
 
 @query(f"""{_G}, v AS (SELECT s1_id FROM (SELECT s1_id, row_number() OVER (ORDER BY md5(s1_id || '|42'), s1_id) AS rn, count(*) OVER () AS n FROM s1) WHERE rn <= round_even(0.2 * n, 0))
 SELECT s1_id, candidate_id FROM c WHERE s1_id IN (SELECT s1_id FROM v)""")
-def semi_validation(spark: SparkSession, sf_dir: str, candidates=_candidates) -> DataFrame:
+def semi_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidate pairs of the validation ids."""
     ids = of_source(ent_doc(spark, sf_dir), 1).select(F.col("entity_id").alias("s1_id"))
-    return pairs.split_features(candidates(spark, sf_dir), sampling.split_ids(ids))[1]
+    return pairs.split_features(_candidates(spark, sf_dir), sampling.split_ids(ids))[1]
 
 
 @query(f"{_G} SELECT s1_id, match_id, split_part(match_id, '-', 1) AS match_source FROM gt WHERE match_id NOT LIKE 'S2-%'")
@@ -377,32 +361,36 @@ def anti_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""{_G} SELECT s1.s1_id AS source1_entity_id, coalesce(string_agg(candidate_id, ',' ORDER BY candidate_id), '') AS candidate_entity_ids
 FROM s1 LEFT JOIN c ON s1.s1_id = c.s1_id GROUP BY 1""")
-def results_wide(spark: SparkSession, sf_dir: str, candidates=_candidates) -> DataFrame:
+def results_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per first-source record, its candidates sorted and joined."""
-    return pairs.wide(of_source(ent_doc(spark, sf_dir), 1), candidates(spark, sf_dir), "candidate_entity_ids", unique=True)
+    return pairs.wide(of_source(ent_doc(spark, sf_dir), 1), _candidates(spark, sf_dir), "candidate_entity_ids", unique=True)
 
 
 @query(f"""{_G} SELECT DISTINCT s1_id, candidate_id FROM c""")
-def parse_lists(spark: SparkSession, sf_dir: str, candidates=_candidates) -> DataFrame:
+def parse_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lists written with repeats and blanks, read back as pairs."""
-    w = pairs.wide(of_source(ent_doc(spark, sf_dir), 1), candidates(spark, sf_dir), "joined", unique=True)
+    w = pairs.wide(of_source(ent_doc(spark, sf_dir), 1), _candidates(spark, sf_dir), "joined", unique=True)
     messy = F.concat(F.lit(" , "), F.replace("joined", F.lit(","), F.lit(" ,, ")), F.lit(","), F.col("joined"))
     return w.select(F.col("source1_entity_id").alias("s1_id"), F.explode(parse_id_list(messy)).alias("candidate_id"))
 
 
 @query(f"""{_G} SELECT count(candidate_id) AS found, count(*) AS total, CASE WHEN count(*) = 0 THEN 1.0 ELSE count(candidate_id)::DOUBLE / count(*) END AS candidate_recall
 FROM gt LEFT JOIN c ON gt.s1_id = c.s1_id AND gt.match_id = c.candidate_id""")
-def candidate_recall(spark: SparkSession, sf_dir: str, candidates=_candidates) -> DataFrame:
-    return blocking.candidate_recall(candidates(spark, sf_dir), _truth_pairs(spark, sf_dir))
+def candidate_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocking.candidate_recall(_candidates(spark, sf_dir), _truth_pairs(spark, sf_dir))
 
 
 @query(f"""{_G} SELECT round(1 - (SELECT count(*) FROM c)::DOUBLE / greatest((SELECT count(*) FROM s1) * (SELECT count(*) FROM e WHERE entity_id NOT LIKE 'S1-%'), 1), 6) AS reduction_ratio""")
-def reduction_ratio(spark: SparkSession, sf_dir: str, candidates=_candidates) -> DataFrame:
+def reduction_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = ent_doc(spark, sf_dir)
-    n = e.agg(*[F.sum(F.col("entity_id").startswith(f"S{k}-").cast("long")).alias(f"n{k}") for k in (1, 2, 3)])
-    both = candidates(spark, sf_dir).agg(F.count(F.lit(1)).alias("pairs")).crossJoin(n)  # one row each
-    share = 1 - F.col("pairs") / F.greatest(F.col("n1") * (F.col("n2") + F.col("n3")), F.lit(1))
-    return both.select(F.round(share, 6).alias("reduction_ratio"))
+    n = e.agg(*[F.sum(F.col("entity_id").startswith(f"S{k}-").cast("long")).alias(f"n{k}") for k in (1, 2, 3)]).first()
+    return spark.createDataFrame([(blocking.reduction_ratio(_candidates(spark, sf_dir).count(), *n),)], "reduction_ratio double")
+
+
+@query(f"""{_G} SELECT round(avg((gt.s1_id IS NOT NULL)::INTEGER), 6) AS positive_rate FROM c LEFT JOIN gt ON c.s1_id = gt.s1_id AND c.candidate_id = gt.match_id""")
+def positive_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of true pairs among the candidates."""
+    return metrics.positive_rate(label_join(spark, sf_dir)).select(F.round("positive_rate", 6).alias("positive_rate"))
 
 
 #: Scores from lengths, labels from quality.
@@ -439,22 +427,17 @@ z AS (SELECT *, CASE WHEN nt = 0 THEN p WHEN p + r = 0 THEN 0 ELSE 1.25 * p * r
 
 
 @query(f"{_M} SELECT round(avg(f), 6) AS f05, round(avg(p), 6) AS precision, round(avg(r), 6) AS recall FROM z")
-def macro_f05(spark: SparkSession, sf_dir: str, candidates=_candidates) -> DataFrame:
-    return metrics.macro_f05(pairs.grouped(candidates(spark, sf_dir)), _truth(spark, sf_dir))
+def macro_f05(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.macro_f05(pairs.grouped(_candidates(spark, sf_dir)), _truth(spark, sf_dir))
 
 
 @query(f"""{_M} SELECT round(avg(f), 6) AS f05, round(avg(p), 6) AS precision, round(avg(r), 6) AS recall, count(*) AS n_s1_entities, sum(nt)::BIGINT AS n_true_matches,
   round(avg((nt = 0)::INTEGER), 4) AS singleton_frac, (SELECT count(*) FROM c) AS n_predicted_matches FROM z""")
-def full_report(spark: SparkSession, sf_dir: str, candidates=_candidates) -> DataFrame:
-    t = metrics.full_report(pairs.grouped(candidates(spark, sf_dir)), _truth(spark, sf_dir))
+def full_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = metrics.full_report(pairs.grouped(_candidates(spark, sf_dir)), _truth(spark, sf_dir))
     return t.select("*")
 
 
-# the SQL of these pairs documents by their first 20 characters; here the whole texts are paired
-for _f in (label_join, semi_validation, results_wide, parse_lists, candidate_recall, reduction_ratio, macro_f05, full_report):
-    QUERIES[f"{_f.__name__}_whole"] = partial(_f, candidates=_whole_candidates)
-
-
 @query(f"""{_D}, r AS (SELECT 'S1-' || doc_id AS s1_id, doc_id % 7 AS m FROM documents WHERE doc_id % 5 <> 0),
 x AS (SELECT 'missing_row' AS rule, entity_id AS x FROM e WHERE entity_id LIKE 'S1-%' AND doc_id % 5 = 0
   UNION ALL SELECT 'unknown_row', 'S1-' || doc_id FROM e WHERE entity_id NOT LIKE 'S1-%' AND doc_id % 5 <> 0

@@ -17,10 +17,10 @@ SELECT 'S' || CAST(1 + p_partkey % 3 AS STRING) || '-' || CAST(p_partkey AS STRI
 FROM part
 """
 
-#: Documents as records: the first 40 characters as name.
+#: Documents as records: the whole text as name.
 DOC = """
 SELECT 'S' || CAST(1 + doc_id % 3 AS STRING) || '-' || CAST(doc_id AS STRING) AS entity_id,
-       substring(text, 1, 40) AS business_name, '' AS business_address, lang AS country, doc_id, text, lang, n_chars
+       text AS business_name, '' AS business_address, lang AS country, doc_id, text, lang, n_chars
 FROM documents
 """
 
@@ -33,8 +33,14 @@ def view(spark: SparkSession, sf_dir: str, sql: str, *tables: str) -> DataFrame:
     return spark.sql(sql, **frames)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scanned table of fewer partitions than cores (one small file) dealt out; a larger one as it is, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def ent_part(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view(spark, sf_dir, PART, "part")
+    return spread(view(spark, sf_dir, PART, "part"))
 
 
 def ent_doc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -220,14 +220,14 @@ def test_whole_texts_are_compared(spark, tmp_path):
     grams = {k: {f"  {t}  "[i : i + 3] for i in range(len(t) + 2)} for k, t in texts.items()}
     near = lambda a, b: len(grams[a] & grams[b]) / len(grams[a] | grams[b])
     assert near("S1-3", "S2-4") > 0.8 > 0.2 > near("S1-3", "S2-1")
-    for name in ("lsh_candidates_whole", "lsh_candidates_capped"):
+    for name in ("lsh_candidates", "lsh_candidates_capped"):
         found = {(r[0], r[1]) for r in QUERIES[name](spark, str(tmp_path)).collect()}
         assert ("S1-3", "S2-4") in found and ("S1-3", "S2-1") not in found, name
     slots = [(i * 2654435761) & 0xFFFFFFFF for i in range(128)]
-    for r in QUERIES["minhash_signature_whole"](spark, str(tmp_path)).collect():
+    for r in QUERIES["minhash_signature"](spark, str(tmp_path)).collect():
         hashes = [int(hashlib.md5(g.encode()).hexdigest()[:8], 16) for g in grams[r["entity_id"]]]
         assert r["signature"] == ",".join(str(min(h ^ x for h in hashes)) for x in slots)
-    assert QUERIES["lsh_bands_whole"](spark, str(tmp_path)).count() == 4 * 16
+    assert QUERIES["lsh_bands"](spark, str(tmp_path)).count() == 4 * 16
 
 
 def test_whole_text_keys(spark, tmp_path):
@@ -236,9 +236,9 @@ def test_whole_text_keys(spark, tmp_path):
     table = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     table.write.parquet(f"{tmp_path}/documents.parquet")
     run = lambda name: sorted(tuple(r) for r in QUERIES[name](spark, str(tmp_path)).collect())
-    assert run("label_join_whole") == [("S1-3", "S2-4", 0), ("S1-3", "S3-2", 1)]
-    assert set(run("parse_lists_whole")) == {("S1-3", "S2-4"), ("S1-3", "S3-2")}
-    assert run("results_wide_whole") == [("S1-3", "S2-4,S3-2")]
-    assert run("candidate_recall_whole") == [(1, 1, 1.0)] and run("reduction_ratio_whole") == [(round(1 - 2 / 3, 6),)]
-    assert [r["precision"] for r in QUERIES["macro_f05_whole"](spark, str(tmp_path)).collect()] == [0.5]
-    assert [r["n_predicted_matches"] for r in QUERIES["full_report_whole"](spark, str(tmp_path)).collect()] == [2]
+    assert run("label_join") == [("S1-3", "S2-4", 0), ("S1-3", "S3-2", 1)]
+    assert set(run("parse_lists")) == {("S1-3", "S2-4"), ("S1-3", "S3-2")}
+    assert run("results_wide") == [("S1-3", "S2-4,S3-2")]
+    assert run("candidate_recall") == [(1, 1, 1.0)] and run("reduction_ratio") == [(round(1 - 2 / 3, 6),)]
+    assert [r["precision"] for r in QUERIES["macro_f05"](spark, str(tmp_path)).collect()] == [0.5]
+    assert [r["n_predicted_matches"] for r in QUERIES["full_report"](spark, str(tmp_path)).collect()] == [2]
