@@ -76,18 +76,20 @@ def minhash(c: Column, hashes: int = HASHES, seed: int = 0) -> Column:
     return F.pandas_udf(run, ArrayType(LongType()))(c)
 
 
-def signatures(df: DataFrame, text_col: str = "name_nospace", hashes: int = HASHES) -> DataFrame:
-    return df.select("entity_id", minhash(F.coalesce(F.col(text_col), F.lit("")), hashes).alias("sig"))
+def signatures(df: DataFrame, text_col: str = "name_nospace", hashes: int = HASHES, *more: str) -> DataFrame:
+    """(entity_id, sig, and the columns ``more``)."""
+    return df.select("entity_id", minhash(F.coalesce(F.col(text_col), F.lit("")), hashes).alias("sig"), *more)
 
 
 def bands(sigs: DataFrame, hashes: int = HASHES, count: int = BANDS) -> DataFrame:
-    """(entity_id, band, band_key): the slots of each band as one text."""
+    """(entity_id, band, band_key, and other columns but the signature): the slots of each band as one text."""
     if hashes % count:
         raise ValueError(f"{hashes} hashes do not divide into {count} bands")
     rows = hashes // count
     part = lambda b: F.array_join(F.slice("sig", b * rows + 1, rows), "-")
     each = F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda b: F.struct(b.alias("band"), part(b).alias("band_key")))
-    return sigs.select("entity_id", F.explode(each).alias("x")).select("entity_id", "x.band", "x.band_key")
+    more = [c for c in sigs.columns if c not in ("entity_id", "sig")]
+    return sigs.select("entity_id", *more, F.explode(each).alias("x")).select("entity_id", "x.band", "x.band_key", *more)
 
 
 def jaccard_estimate(a: Column, b: Column) -> Column:
@@ -102,18 +104,18 @@ def lsh_block(s1: DataFrame, others: DataFrame, text_col: str = "name_nospace",
     ``cap``: of one record's candidates only the first so many are verified, in the order of
     their first common band and then of the rows of ``others``; None verifies them all.
     """
-    a, b = signatures(s1, text_col, hashes), signatures(others.withColumn("_pos", F.monotonically_increasing_id()), text_col, hashes)
+    placed = others.withColumn("_pos", F.monotonically_increasing_id())
+    a, b = signatures(s1, text_col, hashes), signatures(placed, text_col, hashes, "_pos")
     left = bands(a, hashes, count).withColumnRenamed("entity_id", "s1_id")
     right = bands(b, hashes, count).withColumnRenamed("entity_id", "candidate_id")
     pairs = left.join(right, ["band", "band_key"])
     if cap is None:
         pairs = pairs.select("s1_id", "candidate_id").distinct()
     else:
-        place = others.select(F.col("entity_id").alias("candidate_id"), F.monotonically_increasing_id().alias("pos"))
-        pairs = pairs.groupBy("s1_id", "candidate_id").agg(F.min("band").alias("band")).join(place, "candidate_id")
-        order = Window.partitionBy("s1_id").orderBy("band", "pos")
+        pairs = pairs.groupBy("s1_id", "candidate_id").agg(F.min(F.struct("band", "_pos")).alias("at"))
+        order = Window.partitionBy("s1_id").orderBy("at", "candidate_id")
         pairs = pairs.withColumn("n", F.row_number().over(order)).where(F.col("n") <= cap).select("s1_id", "candidate_id")
-    pairs = pairs.join(a.toDF("s1_id", "sig1"), "s1_id").join(b.toDF("candidate_id", "sig2"), "candidate_id")
+    pairs = pairs.join(a.toDF("s1_id", "sig1"), "s1_id").join(b.drop("_pos").toDF("candidate_id", "sig2"), "candidate_id")
     return pairs.where(jaccard_estimate(F.col("sig1"), F.col("sig2")) >= threshold).select("s1_id", "candidate_id")
 
 

@@ -25,6 +25,23 @@ def note(spark: SparkSession, file: str, rule: str, text: str, severity: str = "
     return spark.createDataFrame([(file, rule, severity, 1, [text])], SCHEMA)
 
 
+def numbered(lines: DataFrame, offenders: DataFrame) -> DataFrame:
+    """(x): the first few offending lines (pos, value), each behind its line number in its file."""
+    few = offenders.orderBy("pos").limit(EXAMPLES).collect()
+    if not few:
+        return offenders.select(F.col("value").alias("x")).limit(0)
+    upto = [F.sum(((F.col("pos.file") == r["pos"]["file"]) & (F.col("pos.n") <= r["pos"]["n"])).cast("int")).alias(f"n{k}") for k, r in enumerate(few)]
+    numbers = lines.agg(*upto).first()  # one pass for all of them
+    rows = [(f"line {n}: {r['value']}",) for n, r in zip(numbers, few, strict=True)]
+    return lines.sparkSession.createDataFrame(rows, "x string")
+
+
+def not_utf8(spark: SparkSession, path: str, file: str) -> DataFrame:
+    """A finding where lines are not UTF-8, of which Spark's reader says nothing; their bytes are given in hex."""
+    bad = spark.read.text(path).where(~F.is_valid_utf8("value")).select(F.hex(F.col("value").cast("binary")).alias("x"))
+    return _finding(file, "not_utf8", bad)
+
+
 def parse_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(pos, s1_id, ids) of rows with a tab, and (x) of malformed ones; ids are not trimmed."""
     malformed = lines.where(~F.col("value").contains("\t") & (F.trim("value") != "")).select(F.col("value").alias("x"))
@@ -102,7 +119,11 @@ def validate_files(spark: SparkSession, matching: str, candidate: str | None, te
         first = head[0]["pos"]
         body = lines.where(~((F.col("pos.file") == first["file"]) & (F.col("pos.n") == first["n"])))
         parsed[kind], malformed = parse_rows(body)
-        found.append(validate_lists(parsed[kind], required, kind, malformed, targets))
+        found += [validate_lists(parsed[kind], required, kind, malformed, targets), not_utf8(spark, path, kind)]
+        faulty = body.where(~F.col("value").contains("\t") & (F.trim("value") != ""))
+        where = numbered(lines, faulty)
+        if not where.isEmpty():
+            found.append(_finding(kind, "malformed_at", where, "warning"))
     if len(parsed) == 2:
         found.append(outside_candidates(parsed["matching"], parsed["candidate"]))
     return reduce(DataFrame.unionByName, found)

@@ -71,6 +71,8 @@ def prepare(spark: SparkSession, cfg: Config) -> dict:
             tsv.write_processed(df, f"{cfg.processed_dir}/{split}_source{i}")
             df = spark.read.parquet(f"{cfg.processed_dir}/{split}_source{i}.parquet")
             report[f"{split}_source{i}"] = metrics.profile(df, f"{split}_source{i}").first().asDict()
+            report[f"{split}_source{i}"]["countries"] = [tuple(r) for r in metrics.value_counts(df, "country_norm").collect()]
+            report[f"{split}_source{i}"]["first_rows"] = [r.asDict() for r in metrics.preview(df, "entity_id", ("name_core", "addr_clean")).collect()]
             report[f"{split}_source{i}"]["legal_forms"] = [tuple(r) for r in metrics.value_counts(df, "name_legal_form", 8).collect()]
     truth_path = f"{cfg.data_dir}/train/train_ground_truth.tsv"
     if tsv._exists(spark, truth_path):
@@ -127,7 +129,7 @@ def run_pipeline(spark: SparkSession, cfg: Config) -> dict:
     sizes = [s.count() for s in sources]
     n = found.count()
     out = fitted["metrics"] | {
-        "candidate_recall": round(recall, 6), "block_time_s": round(blocked, 2), "num_candidate_pairs": n,
+        "candidate_recall": round(recall, 6), "positive_rate": round(metrics.positive_rate(labelled).first()["positive_rate"], 6), "block_time_s": round(blocked, 2), "num_candidate_pairs": n,
         "reduction_ratio": reduction_ratio(n, *sizes), "run_id": uuid.uuid4().hex,
     }
     if tsv._exists(spark, f"{cfg.data_dir}/test/test_source1.tsv") or tsv._exists(spark, f"{cfg.processed_dir}/test_source1.parquet"):
@@ -147,8 +149,7 @@ def run_pipeline(spark: SparkSession, cfg: Config) -> dict:
     out["total_runtime_s"] = round(time.time() - began, 2)
     row = spark.createDataFrame([(json.dumps(out), json.dumps(asdict(cfg)))], "metrics string, config string")
     row.write.mode("append").json(f"{cfg.output_dir}/runs")  # the record of all runs
-    if os.path.isdir(cfg.output_dir):
-        metrics.write_metrics(out, f"{cfg.output_dir}/metrics.json")
+    metrics.write_metrics(out, f"{cfg.output_dir}/metrics.json", spark)
     return out
 
 

@@ -25,8 +25,10 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 def read_tsv(spark: SparkSession, path: str, with_pos: bool = False) -> DataFrame:
     """All-string table: no quoting, names and values trimmed, missing values ''.
 
-    Short rows are filled up, rows with too many fields and blank lines are passed over;
-    a header with a single column is an error. ``with_pos`` keeps the place in the file.
+    Short rows are filled up, rows with too many fields and blank lines are passed over
+    (``long_rows`` counts the former); a header with a single column is an error. The
+    header is the first line of each file; an equal line further down is a row.
+    ``with_pos`` keeps the place in the file.
     """
     head = spark.read.text(path).limit(1).collect()
     names = [x.strip().lstrip("\ufeff").strip() for x in head[0][0].rstrip("\r").split("\t")] if head else []
@@ -35,13 +37,23 @@ def read_tsv(spark: SparkSession, path: str, with_pos: bool = False) -> DataFram
     lines = _lines(spark, path)
     clean = F.regexp_replace("value", "^\ufeff", "")
     header = F.transform(F.split(clean, "\t"), lambda x: squeeze(x))
-    rows = lines.where((F.array_join(header, "\t") != "\t".join(names)) & (F.trim("value") != ""))
+    first = lines.groupBy("pos.file").agg(F.min("pos").alias("_first")).select("_first")  # a row a file
+    lines = lines.join(F.broadcast(first), F.col("pos") == F.col("_first"), "left")
+    is_header = F.col("_first").isNotNull() & (F.array_join(header, "\t") == "\t".join(names))
+    rows = lines.where(~is_header & (F.trim("value") != ""))
     parts = rows.select("pos", F.split("value", "\t").alias("v")).where(F.size("v") <= len(names))
     ends = f"^{BLANK}+|{BLANK}+$"
     cols = [F.regexp_replace(F.coalesce(F.get("v", F.lit(k)), F.lit("")), ends, "").alias(n) for k, n in enumerate(names)]
     return parts.select(*cols, *([F.col("pos").alias("_pos")] if with_pos else []))
 
 
+def long_rows(spark: SparkSession, path: str) -> int:
+    """How many lines have more fields than the header; ``read_tsv`` passes over them."""
+    head = spark.read.text(path).first()
+    fields = len(head[0].rstrip("\r").split("\t")) if head else 0
+    return spark.read.text(path).where(F.size(F.split("value", "\t")) > fields).count()
+
+
 def check_source(df: DataFrame, prefix: str, name: str) -> DataFrame:
     """A source with its four columns; of rows with one id the first in file order stays.
 
@@ -78,7 +90,10 @@ def load_split(spark: SparkSession, data_dir: str, split: str = "train", proc_di
         if proc_dir and _exists(spark, f"{proc_dir}/{name}.parquet"):
             out.append(spark.read.parquet(f"{proc_dir}/{name}.parquet"))
             continue
-        raw = check_source(read_tsv(spark, f"{data_dir}/{split}/{name}.tsv", with_pos=True), f"S{i}-", name)
+        path = f"{data_dir}/{split}/{name}.tsv"
+        if n := long_rows(spark, path):
+            warnings.warn(f"{name}: {n} rows with too many fields are passed over", stacklevel=2)
+        raw = check_source(read_tsv(spark, path, with_pos=True), f"S{i}-", name)
         out.append(preprocess_source(raw.select(*COLUMNS)))
     return tuple(out)
 

@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from kinfold.operators import validate
+from kinfold.operators import metrics, validate
 from kinfold.operators.blocking import block_union
 from kinfold.operators.normalize import preprocess_source
 from kinfold.plans import pipeline
@@ -29,6 +29,14 @@ def test_read_tsv(spark, tmp_path):
         tsv.read_tsv(spark, put(tmp_path / "b.tsv", "a,b\n1,2\n"))
 
 
+def test_only_the_first_line_is_the_header(spark, tmp_path):
+    path = put(tmp_path / "h" / "a.tsv", HEAD + "S1-1\ta\tb\tc\n" + HEAD + "S1-2\ta\tb\tc\td\n")
+    assert sorted(r.entity_id for r in tsv.read_tsv(spark, path).collect()) == ["S1-1", "entity_id"]
+    assert tsv.long_rows(spark, path) == 1
+    put(tmp_path / "h" / "b.tsv", HEAD + "S1-3\t\t\t\n")
+    assert sorted(r.entity_id for r in tsv.read_tsv(spark, str(tmp_path / "h")).collect()) == ["S1-1", "S1-3", "entity_id"]
+
+
 def test_check_source(spark, tmp_path):
     path = put(tmp_path / "a.tsv", HEAD + "S1-1\tfirst\t\t\nS1-1\tsecond\t\t\nX-1\tz\t\t\n")
     with pytest.warns(UserWarning):
@@ -80,6 +88,15 @@ def test_rules(spark, tmp_path, body, rule, examples):
     assert faults(spark, tmp_path, body) == ({rule: examples} if rule else {})
 
 
+def test_bytes_that_are_no_text_and_line_numbers(spark, tmp_path):
+    d = tmp_path / "test"
+    put(d / "test_source1.tsv", HEAD + "S1-1\t\t\t\nS1-2\t\t\t\n")
+    (tmp_path / "m.tsv").write_bytes(b"source1_entity_id\tmatched_entity_ids\nS1-1\t\nS1-2\t\nodd\nS1-2\xff\t\nbad\n")
+    out = {r.rule: (r.severity, list(r.examples)) for r in validate.validate_files(spark, str(tmp_path / "m.tsv"), None, str(d)).collect()}
+    assert out["not_utf8"] == ("error", [b"S1-2\xff\t".hex().upper()])
+    assert out["malformed_at"] == ("warning", ["line 4: odd", "line 6: bad"])
+
+
 def test_headers_and_missing_files(spark, tmp_path):
     assert list(faults(spark, tmp_path, "", header="source1_entity_id,matched_entity_ids\n").values()) == [["comma-separated"]]
     assert list(faults(spark, tmp_path, "", header="a\tb\n")) == ["header"]
@@ -119,6 +136,15 @@ def test_whole_run(spark, tmp_path):
     assert again.count() == 40
 
 
+def test_reports(spark, tmp_path, capsys):
+    found = {"f05": 0.123456789, "n_s1_entities": 3, "top_features": {"a": 1.0, "b": 2.5}}
+    metrics.print_report(found)
+    assert capsys.readouterr().out.splitlines() == ["          f05 = 0.123457", "n s1 entities = 3", "#1 b (2.5)", "#2 a (1)"]
+    for where in (None, spark):
+        metrics.write_metrics(found, str(tmp_path / "m.json"), where)
+        assert json.load(open(tmp_path / "m.json")) == found
+
+
 def test_config(tmp_path, monkeypatch):
     path = put(tmp_path / "c.json", json.dumps({"val_frac": 0.3, "unknown": 1}))
     monkeypatch.setenv("KINFOLD_SEED", "7")

@@ -242,3 +242,18 @@ def test_whole_text_keys(spark, tmp_path):
     assert run("candidate_recall") == [(1, 1, 1.0)] and run("reduction_ratio") == [(round(1 - 2 / 3, 6),)]
     assert [r["precision"] for r in QUERIES["macro_f05"](spark, str(tmp_path)).collect()] == [0.5]
     assert [r["n_predicted_matches"] for r in QUERIES["full_report"](spark, str(tmp_path)).collect()] == [2]
+
+
+@pytest.mark.parametrize("by", ["md5", "hash"])
+def test_split_against_a_plain_sort(spark, by):
+    ids = spark.range(3000).select(F.concat(F.lit("S1-"), F.col("id")).alias("s1_id"), (F.col("id") % 7).cast("string").alias("stratum"))
+    mark = F.md5(F.concat("s1_id", F.lit("|5")).cast("binary")) if by == "md5" else F.xxhash64("s1_id", F.lit(5))
+    groups = {}
+    for r in ids.select("s1_id", "stratum", mark.alias("m")).collect():
+        groups.setdefault(r.stratum, []).append((r.m, r.s1_id))
+    want = {x for g in groups.values() for _, x in sorted(g)[: round(0.3 * len(g))]}
+    out = sampling.split_ids(ids.select("s1_id"), 0.3, 5, ids.unionByName(ids.withColumn("stratum", F.lit("9"))), by).collect()
+    assert {r.s1_id for r in out if r.is_val} == want and len(out) == 3000
+    every = sampling.split_ids(ids.select("s1_id"), 0.3, 5, by=by)
+    assert every.where("is_val").count() == 900
+    assert sampling.split_ids(ids.limit(0).select("s1_id"), 0.3).count() == 0
