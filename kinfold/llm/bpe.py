@@ -243,7 +243,7 @@ def _slices(batch) -> Iterator:
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids array<int>) per row. Null and empty texts have no ids; no shuffle."""
+    """(doc_id, ids array<int>) per row; no shuffle. Awkward rows as in ``digests``."""
     import pyarrow as pa
 
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
@@ -280,8 +280,10 @@ def digests(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", tex
     """Encodes and decodes each text and returns counts and digests of both directions.
 
     doc_id, n_tokens, ids_sha256 (decimal ids, comma-joined), decoded_sha256, and the ids
-    themselves if asked for. Null and
-    empty texts have no tokens; repeated rows give repeated rows.
+    themselves if asked for. Null and empty texts have no tokens; repeated rows give
+    repeated rows; an empty table gives none; other columns are not read. A text of any
+    length is encoded as a whole within one task, a pre-token of any length in time that
+    grows a little faster than its length.
     """
     import pyarrow as pa
 

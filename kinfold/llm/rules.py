@@ -59,9 +59,10 @@ def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """One row per input row: id, measurements, ``bits``.
 
     Null and empty texts have no words; repeated rows give repeated rows; an empty table
-    gives none. Only the two named columns are read, so other columns cannot clash. One
-    pass, no shuffle: windows are compared as hashes to find the few documents that
-    repeat any, and only in those as exact texts.
+    gives none. Only the two named columns are read, so other columns cannot clash. A very
+    long text is one row of arrays in one task, sorted only if a window repeats. One
+    pass, no shuffle: windows are compared as hashes to find the few documents that repeat
+    any, and only in those as exact texts.
     """
     t = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     t = t.select("doc_id", "t", words_of(F.col("t")).alias("w"))
