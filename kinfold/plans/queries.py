@@ -202,7 +202,7 @@ def lsh_candidates_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(CANDIDATES)
 def generate_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five production keys and MinHash over all processed records."""
-    p = _processed(spark, sf_dir)
+    p = _processed(spark, sf_dir).persist()
     return blocking.generate_candidates(*[of_source(p, k) for k in (1, 2, 3)])
 
 
@@ -279,6 +279,7 @@ def fuzzy_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _processed(spark, sf_dir) -> DataFrame:
+    """Processed part records; queries that read them once per source persist them, as the pipeline writes them."""
     e = ent_part(spark, sf_dir).select("entity_id", "business_name", "business_address", "country")
     return normalize.preprocess_source(e)
 
@@ -289,7 +290,7 @@ def _processed(spark, sf_dir) -> DataFrame:
   0 AS name_missing_1, 0 AS name_missing_2 FROM pr""")
 def pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 42 features of pairs with one brand and size; those that SQL has are compared."""
-    p, found = _processed(spark, sf_dir), _pairs(spark, sf_dir).select("s1_id", "candidate_id")
+    p, found = _processed(spark, sf_dir).persist(), _pairs(spark, sf_dir).select("s1_id", "candidate_id")
     out = features.build_feature_matrix(found, of_source(p, 1), of_source(p, 2), of_source(p, 3))
     return out.select("s1_id", "candidate_id", "name_nospace_exact", "name_nospace_lev", "name_missing_1", "name_missing_2")
 
@@ -297,7 +298,7 @@ def pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(FEATURES)
 def pair_features_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 42 features, real numbers rounded to nine digits (their mean to seven)."""
-    p, found = _processed(spark, sf_dir), _pairs(spark, sf_dir).select("s1_id", "candidate_id")
+    p, found = _processed(spark, sf_dir).persist(), _pairs(spark, sf_dir).select("s1_id", "candidate_id")
     out = features.build_feature_matrix(found, of_source(p, 1), of_source(p, 2), of_source(p, 3))
     digits = lambda c: 7 if c == "name_addr_mean" else 9
     return out.select(*[F.round(c, digits(c)).alias(c) if t == "double" else F.col(c) for c, t in out.dtypes])
