@@ -11,7 +11,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 from heapq import heapify, heappop, heappush
 from itertools import accumulate, chain, pairwise
 
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest as xxh
 
-from kinfold.llm.common import table
+from kinfold.llm.common import slices, table
 
 #: Vocabularies above this many tokens are refused: what is broadcast stays small.
 MAX_VOCABULARY = 1_000_000
@@ -228,20 +228,6 @@ def default_vocabulary() -> Vocabulary:
     return Vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-def _slices(batch) -> Iterator:
-    """An Arrow batch in pieces of bounded text, so that ids of long texts never pile up."""
-    import pyarrow.compute as pc
-
-    start, size = 0, 0
-    for i, n in enumerate(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()):
-        size += n + 100
-        if size > 1_000_000:
-            yield batch.slice(start, i + 1 - start)
-            start, size = i + 1, 0
-    if start < batch.num_rows:
-        yield batch.slice(start)
-
-
 def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids array<int>) per row; no shuffle. Awkward rows as in ``digests``."""
     import pyarrow as pa
@@ -251,7 +237,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
     def run(batches):
         codec = sent.value.codec()
         for whole in batches:
-            for b in _slices(whole):
+            for b in slices(whole, 1):
                 ids = [codec.encode(t) for t in b.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
@@ -293,7 +279,7 @@ def digests(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", tex
     def run(batches):
         codec, sha = sent.value.codec(), hashlib.sha256
         for whole in batches:
-            for b in _slices(whole):
+            for b in slices(whole, 1):
                 n, coded, back, listed = [], [], [], []
                 for t in b.column(1).to_pylist():
                     ids = codec.encode(t)

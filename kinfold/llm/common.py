@@ -122,6 +122,20 @@ def text_key(text: Column) -> list[Column]:
     return [F.xxhash64(t).alias("t1"), F.xxhash64(F.lit(1), t).alias("t2")]
 
 
+def slices(batch, column: int, size: int = 1 << 20) -> Iterator:
+    """An Arrow batch in pieces of so many bytes of text, or single rows: what is made of long texts never piles up."""
+    import pyarrow.compute as pc
+
+    start, held = 0, 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()):
+        held += n + 100
+        if held > size:
+            yield batch.slice(start, i + 1 - start)
+            start, held = i + 1, 0
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, limit: int, id_col: str = "doc_id") -> DataFrame:
     """Training rows: the columns of ``docs`` and ``label``, about ``limit`` rows and never more.
 

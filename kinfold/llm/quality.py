@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.llm.common import held_out, labelled_sample, table
-from kinfold.llm.substring import Rolling, words_in
+from kinfold.llm.substring import run_hashes, words_in
 
 #: At most this many labelled rows are collected to fit the tables.
 TRAIN_LIMIT = 20_000
@@ -73,7 +73,7 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     if len(data):
         cut[1:][data == 10] = True
     edges = np.flatnonzero(cut)
-    lines = Rolling(data.astype(np.uint64) + np.uint64(1), np.uint64(0x9E3779B97F4A7C15)).of(edges[:-1], edges[1:])
+    lines = run_hashes(data, edges[:-1], edges[1:])
     of = np.searchsorted(offsets, edges[:-1], "right") - 1
     n_lines = np.bincount(of, minlength=n)
     return np.column_stack([

@@ -21,13 +21,13 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import discard, join_dealt, materialize, table, text_key
+from kinfold.llm.common import discard, join_dealt, materialize, slices, table, text_key
 
 SIZE = 50
 #: Words of the runs by which windows are dealt, the first time and again while a minimizer is crowded.
 GRAMS = (12, 31, SIZE)
 #: Different chunks of a minimizer that one automaton takes; beyond it they are dealt again.
-SHARD = 500
+SHARD = 120
 #: What tells rows apart: the id and 128 bits of the text.
 KEY = ["doc", "t1", "t2"]
 _SLICE = 1 << 20
@@ -91,11 +91,21 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return at, np.flatnonzero(stop) + 1, np.searchsorted(at, offsets)
 
 
+def run_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of runs of bytes in ascending order, some bytes at a time: memory does not grow with the text."""
+    out, i = np.empty(len(begin), np.uint64), 0
+    while i < len(begin):
+        j = max(i + 1, int(np.searchsorted(end, begin[i] + _SLICE // 2, "right")))
+        values = data[begin[i] : end[j - 1]].astype(np.uint64) + np.uint64(1)
+        out[i:j] = Rolling(values, _B).of(begin[i:j] - begin[i], end[i:j] - begin[i])
+        i = j
+    return out
+
+
 def words_in(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, text number) of each word of the texts, and each text's first word's place."""
     at, end, first = word_bounds(data, offsets)
-    hashes = Rolling(data.astype(np.uint64) + np.uint64(1), _B).of(at, end)
-    return hashes, np.repeat(np.arange(len(offsets) - 1), np.diff(first)), first
+    return run_hashes(data, at, end), np.repeat(np.arange(len(offsets) - 1), np.diff(first)), first
 
 
 def chunks_in(texts: list[bytes], gram: int) -> tuple[dict[str, np.ndarray], list[bytes]]:
@@ -113,7 +123,7 @@ def chunks_in(texts: list[bytes], gram: int) -> tuple[dict[str, np.ndarray], lis
     starts = np.flatnonzero(text[: n - SIZE + 1] == text[SIZE - 1 :]) if n >= SIZE else np.zeros(0, np.int64)
     if not len(starts):
         return {k: np.zeros(0, np.int64) for k in ("text", "at", "n", "h")}, []
-    words = Rolling(data.astype(np.uint64) + np.uint64(1), _B).of(begin, end)
+    words = run_hashes(data, begin, end)
     grams = np.arange(n - gram + 1)
     hashes = Rolling(words, _C).of(grams, grams + gram)
     low = (hashes & ~_PLACE) | grams.astype(np.uint64)
@@ -264,7 +274,7 @@ def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     names = [*KEY, "at", "h", "crowded", "words"]
 
     def run(batches):
-        for b in batches:
+        for b in (piece for whole in batches for piece in slices(whole, 3)):
             of, got = [], []
             for i, (text, parts) in enumerate(zip(b.column(3), b.column(4), strict=True)):
                 words = text.as_py().encode("utf-8", "surrogatepass").split()
@@ -377,7 +387,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     gone = _gone(rows, shard)
 
     def run(batches):
-        for b in batches:
+        for b in (piece for whole in batches for piece in slices(whole, 1)):
             n, removed, kept = [], [], []
             for text, gone in zip(b.column(1), b.column(2), strict=True):
                 total, out = _kept(text.as_py(), gone.as_py())
@@ -409,7 +419,7 @@ def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     joined = flat.join(gone, _same_row(flat, gone), "left").select(gone["gone"], *[flat[f"c{k}"] for k in range(len(names))])
 
     def run(batches):
-        for b in batches:
+        for b in (piece for whole in batches for piece in slices(whole, at + 1)):
             cols = list(b.columns[1:])
             texts, gone = cols[at].to_pylist(), b.column(0).to_pylist()
             texts = [b" ".join(_kept(t, g)[1]).decode("utf-8", "surrogatepass") if g else t for t, g in zip(texts, gone, strict=True)]

@@ -533,9 +533,10 @@ def test_block_plans():
         assert blocks - kept == simhash.RADIUS
 
 
-def test_long_chains(spark):
+@pytest.mark.parametrize("few", [graph.FEW, 0])
+def test_long_chains(spark, few):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(500, 500), (601, 600)], "u long, v long")
-    got = {r.node: r.root for r in graph.components(edges).collect()}
+    got = {r.node: r.root for r in graph.components(edges, few=few).collect()}
     assert got == {**{i: 0 for i in range(301)}, 600: 600, 601: 600}
 
 
