@@ -90,14 +90,16 @@ def join_dealt(rows: DataFrame, small: DataFrame, on: list[str], count: str) ->
 
     Keys with more than one in ``HEAVY`` of the rows are joined by broadcast (there are
     fewer than ``HEAVY`` such keys, whatever the size), all others by a shuffle in which no
-    key is hot. Both sides are read twice.
+    key is hot. Both sides are parted by one filter over the hashes of those keys, so no row
+    passes a join for it; a key that shares such a hash is broadcast too. Both sides are
+    read twice.
     """
     total, most = small.agg(F.sum(count), F.max(count)).first()
     if not total or most * HEAVY <= total:
         return rows.join(small, on)
-    hot = small.where(F.col(count) * HEAVY > total)
-    rest = rows.join(F.broadcast(hot.select(*on)), on, "left_anti")
-    return rows.join(F.broadcast(hot), on).unionByName(rest.join(small.where(F.col(count) * HEAVY <= total), on))
+    number = F.xxhash64(*[F.col(c).cast(small.schema[c].dataType) for c in on])
+    hot = number.isin([r[0] for r in small.where(F.col(count) * HEAVY > total).select(number).collect()])
+    return rows.where(hot).join(F.broadcast(small.where(hot)), on).unionByName(rows.where(~hot).join(small.where(~hot), on))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinfold.llm import bpe, decontam, graph, hilbert, html, quality, rules, simhash, substring, tokencount, toxicity
-from kinfold.llm.common import labelled_sample
+from kinfold.llm.common import join_dealt, labelled_sample
 from kinfold.llm.queries import QUERIES, SQL
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -799,3 +799,16 @@ def test_pipeline_stages_on_awkward_rows(spark, sf, awkward, empty):
     for d in (awkward, empty):
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, d, sf).count() <= d.count()
+
+
+def test_hot_keys_are_parted_without_a_join(spark):
+    from collections import Counter
+
+    keys = [1] * 3000 + [2] * 50 + list(range(10, 3010)) + [None] * 5
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k long, i int")
+    small = rows.where("k is not null and k % 3 != 0").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    out = join_dealt(rows, small, ["k"], "n")
+    n = Counter(keys)
+    assert sorted(tuple(r) for r in out.collect()) == sorted((k, i, n[k]) for i, k in enumerate(keys) if k is not None and k % 3)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan and plan.count("Join Inner") == 2
