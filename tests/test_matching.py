@@ -257,3 +257,53 @@ def test_split_against_a_plain_sort(spark, by):
     every = sampling.split_ids(ids.select("s1_id"), 0.3, 5, by=by)
     assert every.where("is_val").count() == 900
     assert sampling.split_ids(ids.limit(0).select("s1_id"), 0.3).count() == 0
+
+
+def _names(spark, n=400):
+    rng = random.Random(3)
+    base = ["".join(rng.choices("abcdefgh", k=30)) for _ in range(12)]
+    rows = [(f"S{1 + i % 3}-{i}", rng.choice(base)[: rng.randrange(24, 31)] + rng.choice(["", "", "x", "yz"])) for i in range(n)]
+    return spark.createDataFrame(rows, "entity_id string, name_nospace string").coalesce(1), rows
+
+
+def _plain_lsh(rows, cap):
+    """Band by band and row by row, as the cap counts."""
+    from itertools import islice
+
+    sig = {i: blocking._least([t], 128)[0].tolist() for i, t in rows}
+    other, out = [i for i, _ in rows if not i.startswith("S1")], set()
+    for a in (i for i, _ in rows if i.startswith("S1")):
+        order = {c: None for b in range(16) for c in other if sig[a][8 * b : 8 * b + 8] == sig[c][8 * b : 8 * b + 8]}
+        out |= {(a, c) for c in islice(order, cap) if sum(x == y for x, y in zip(sig[a], sig[c], strict=True)) / 128 >= 0.6}
+    return out
+
+
+@pytest.mark.parametrize("cap", [7, None])
+def test_lsh_in_small_buckets_without_pairs_shuffled(spark, monkeypatch, cap):
+    monkeypatch.setattr(blocking, "BUCKET", 50)
+    e, rows = _names(spark)
+    out = blocking.lsh_block(of_source(e, 1), of_source(e, 2, 3), threshold=0.6, cap=cap)
+    got = [tuple(r) for r in out.collect()]
+    assert len(got) == len(set(got)) and set(got) == _plain_lsh(rows, cap)
+    assert out._jdf.queryExecution().optimizedPlan().toString().lstrip().startswith("MapInArrow")  # nothing comes after the comparison
+
+
+def test_block_union_writes_classes_out_without_a_shuffle_of_pairs(spark, monkeypatch):
+    monkeypatch.setattr(blocking, "CHUNK", 3)
+    rows = [(f"S{1 + i % 3}-{i}", "kxyz" if i % 2 else None, f"u{i % 5}|") for i in range(60)] + [("S2-1", "kxyz", "u1|")]
+    e = spark.createDataFrame(rows, "entity_id string, name_sorted string, bk_country_city string")
+    out = blocking.block_union(of_source(e, 1), of_source(e, 2, 3), {"name_sorted": 3, "bk_country_city": 3})
+    got = [tuple(r) for r in out.collect()]
+    want = {(a, b) for a, x, u in rows for b, y, v in rows if a < "S2" <= b and (x == y == "kxyz" or u == v)}
+    assert len(got) == len(set(got)) and set(got) == want
+    assert out._jdf.queryExecution().optimizedPlan().toString().lstrip().startswith(("Project", "Generate"))
+    both = e.unionByName(spark.createDataFrame([("S1-0", "kxyz", "u3|")], e.schema))  # one id with other keys
+    again = blocking.block_union(of_source(both, 1), of_source(both, 2, 3), {"name_sorted": 3, "bk_country_city": 3}).collect()
+    assert len(again) == len(set(again)) > len(want)
+
+
+def test_candidates_of_a_query_have_no_cap(spark, processed):
+    s1, s2 = (spark.createDataFrame([(f"{s}-{i}", f"abcdefghijklmnopq{s}") for i in range(n)], "entity_id string, name_nospace string") for s, n in (("S1", 2), ("S2", 600)))
+    s1, s2 = (e.withColumn("name_sorted", F.col("name_nospace")) for e in (s1, s2))
+    run = lambda cap: blocking.generate_candidates(s1, s2, s2.limit(0), lsh_threshold=0.0, lsh_cap=cap).count()
+    assert run(None) == 1200 and run(500) == 1000
