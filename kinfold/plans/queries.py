@@ -43,10 +43,15 @@ _PAIRS = f"""{_P}, pr AS (SELECT a.entity_id AS s1_id, b.entity_id AS candidate_
   WHERE a.entity_id LIKE 'S1-%' AND b.entity_id NOT LIKE 'S1-%')"""
 
 
-def _pairs(spark, sf_dir) -> DataFrame:
+def _sides(spark, sf_dir, *more: str) -> tuple[DataFrame, DataFrame]:
+    """(s1_id, keys) and (candidate_id, keys)."""
     e = ent_part(spark, sf_dir)
-    a = of_source(e, 1).select(F.col("entity_id").alias("s1_id"), "p_brand", "p_size", F.col("p_name").alias("n1"), F.col("business_name").alias("b1"))
-    b = of_source(e, 2, 3).select(F.col("entity_id").alias("candidate_id"), "p_brand", "p_size", F.col("p_name").alias("n2"), F.col("business_name").alias("b2"))
+    a = of_source(e, 1).select(F.col("entity_id").alias("s1_id"), "p_brand", "p_size", *more)
+    return a, of_source(e, 2, 3).select(F.col("entity_id").alias("candidate_id"), "p_brand", "p_size", *more)
+
+
+def _pairs(spark, sf_dir) -> DataFrame:
+    a, b = _sides(spark, sf_dir)
     return a.join(b, ["p_brand", "p_size"]).drop("p_brand", "p_size")
 
 
@@ -298,10 +303,9 @@ def pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(FEATURES)
 def pair_features_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 42 features, real numbers rounded to nine digits (their mean to seven)."""
-    p, found = _processed(spark, sf_dir).persist(), _pairs(spark, sf_dir).select("s1_id", "candidate_id")
-    out = features.build_feature_matrix(found, of_source(p, 1), of_source(p, 2), of_source(p, 3))
+    p = _processed(spark, sf_dir).persist()
     digits = lambda c: 7 if c == "name_addr_mean" else 9
-    return out.select(*[F.round(c, digits(c)).alias(c) if t == "double" else F.col(c) for c, t in out.dtypes])
+    return features.features_of_join(*_sides(spark, sf_dir), ["p_brand", "p_size"], of_source(p, 1), of_source(p, 2), of_source(p, 3), digits)
 
 
 # truth, labels, metrics ------------------------------------------------------------------

@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -307,3 +308,30 @@ def test_candidates_of_a_query_have_no_cap(spark, processed):
     s1, s2 = (e.withColumn("name_sorted", F.col("name_nospace")) for e in (s1, s2))
     run = lambda cap: blocking.generate_candidates(s1, s2, s2.limit(0), lsh_threshold=0.0, lsh_cap=cap).count()
     assert run(None) == 1200 and run(500) == 1000
+
+
+def test_features_of_join_by_classes_equal_those_by_pairs(spark, sf, monkeypatch):
+    """Records that repeat in names and addresses are put together from classes; the rows are those of the plain join."""
+    from kinfold.plans import queries
+
+    p = queries._processed(spark, sf).where("cast(substring(entity_id, 4) as int) < 60")
+    part = F.substring_index(F.col("entity_id"), "-", 2).substr(4, 9).cast("int")
+    times = F.explode(F.sequence(F.lit(0), F.lit(7)))
+    # eight copies of each record, some with the country of their own; every pair of two groups, and a key that is null
+    copies = p.withColumn("t", times).withColumn("country_norm", F.when(F.col("t") % 3 == 0, "").otherwise(F.col("country_norm")))
+    copies = copies.withColumn("entity_id", F.concat_ws("-", "entity_id", "t")).withColumn("k", F.when(part % 10 < 9, part % 2)).drop("t").persist()
+    sides = [of_source(copies, 1).select(F.col("entity_id").alias("s1_id"), "k"), of_source(copies, 2, 3).select(F.col("entity_id").alias("candidate_id"), "k")]
+    records = [of_source(copies.drop("k"), i) for i in (1, 2, 3)]
+    digits = lambda c: 7 if c == "name_addr_mean" else 9
+    monkeypatch.setattr(features, "TASK", 1000)
+    built = []
+    monkeypatch.setattr(features, "_put_together", lambda *a, real=features._put_together: built.append(a) or real(*a))
+    for d in (digits, None):
+        got = features.features_of_join(*sides, ["k"], *records, d)
+        want = features.rounded(features.build_feature_matrix(sides[0].join(sides[1], ["k"]), *records), d)
+        assert built and got.dtypes == want.dtypes
+        rows = lambda df: sorted(map(tuple, df.collect()))
+        assert rows(got) == rows(want)
+        assert want.count() > 10_000
+    values = np.array([0.00000005, 0.12345675, 0.12345665, 1.0, 0.0, 0.9999999500000001, 1 / 3])
+    assert features.half_up(values, 7).tolist() == [r[0] for r in spark.createDataFrame([(float(v),) for v in values], "x double").select(F.round("x", 7)).collect()]
