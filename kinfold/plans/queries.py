@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from kinfold.functions import similarity as sim
 from kinfold.functions.text import fold, parse_id_list, tokens, translit
-from kinfold.operators import blocking, features, learn, metrics, normalize, pairs, sampling, validate
+from kinfold.operators import blocking, boost, features, learn, metrics, normalize, pairs, sampling, validate
 from kinfold.plans.record_sql import CANDIDATES, FEATURES, PROCESSED, RECORDS, fold_token, fuzzy_sql
 from kinfold.plans.views import DOC, PART, ent_doc, ent_part, of_source
 from kinfold.sources.tsv import keep_first
@@ -470,16 +470,29 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.profile(_processed(spark, sf_dir), "part")
 
 
+def _labelled_side(spark, sf_dir, name: str, *sources: int) -> DataFrame:
+    """Ids with the keys of their pairs; pairs with one name and brand are true."""
+    e = of_source(ent_part(spark, sf_dir), *sources)
+    mark = F.unhex(F.md5(F.to_json(F.struct("p_name", "p_brand")).cast("binary")))
+    return e.select(F.col("entity_id").alias(name), "p_brand", "p_size", F.when(F.col("p_name").isNotNull() & F.col("p_brand").isNotNull(), mark).alias("mark"))
+
+
 @query()
 def gbt_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boosted trees fitted on one part of labelled pairs and applied to the other."""
+    """Boosted trees fitted on one part of labelled pairs and applied to the other; on groups of pairs where records repeat."""
     p = _processed(spark, sf_dir).persist()
     e = ent_part(spark, sf_dir).select("entity_id", "p_name", "p_brand")
+    sides = [_labelled_side(spark, sf_dir, name, *sources) for name, *sources in (("s1_id", 1), ("candidate_id", 2, 3))]
+    split = sampling.split_ids(of_source(e, 1).select(F.col("entity_id").alias("s1_id")))
+    sides[0] = sides[0].join(split.select("s1_id", F.col("is_val").alias("val")), "s1_id")
+    tables = features.class_tables(*sides, ["p_brand", "p_size"], *[of_source(p, k) for k in (1, 2, 3)], boost.TASK, "mark", "val")
+    if tables:
+        return boost.fit_and_score(tables, rounds=10, depth=3)
     a, b = of_source(e, 1).toDF("s1_id", "n", "k"), of_source(e, 2, 3).toDF("match_id", "n", "k")
     true = a.join(b, ["n", "k"]).select("s1_id", "match_id")
     found = _pairs(spark, sf_dir).select("s1_id", "candidate_id")
     labelled = pairs.assign_labels(features.build_feature_matrix(found, of_source(p, 1), of_source(p, 2), of_source(p, 3)), true)
     labelled = labelled.persist()
-    train, val = pairs.split_features(labelled, sampling.split_ids(of_source(e, 1).select(F.col("entity_id").alias("s1_id"))))
+    train, val = pairs.split_features(labelled, split)
     model = learn.train_model(train, val, rounds=10, depth=3)
     return learn.score(model, val).select("s1_id", "candidate_id", "label", "score")

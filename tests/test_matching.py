@@ -352,3 +352,39 @@ def test_features_of_join_by_classes_equal_those_by_pairs(spark, sf, monkeypatch
         assert want.count() > 10_000
     values = np.array([0.00000005, 0.12345675, 0.12345665, 1.0, 0.0, 0.9999999500000001, 1 / 3])
     assert features.half_up(values, 7).tolist() == [r[0] for r in spark.createDataFrame([(float(v),) for v in values], "x double").select(F.round("x", 7)).collect()]
+
+
+def test_trees_on_groups_equal_sums_over_rows(spark, sf, monkeypatch):
+    """Groups of pairs have the sums of the rows they stand for, and every validation pair its own score."""
+    from kinfold.operators import boost
+    from kinfold.plans import queries
+
+    p = queries._processed(spark, sf).where("cast(substring(entity_id, 4) as int) < 60")
+    number = F.substring_index(F.col("entity_id"), "-", 2).substr(4, 9).cast("int")
+    copies = p.withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(7)))).withColumn("country_norm", F.when(F.col("t") % 3 == 0, "").otherwise(F.col("country_norm")))
+    copies = copies.withColumn("entity_id", F.concat_ws("-", "entity_id", "t")).withColumn("k", F.when(number % 10 < 9, number % 2))
+    copies = copies.withColumn("mark", F.when(number % 7 > 0, F.col("name_clean").substr(1, 4).cast("binary"))).withColumn("val", F.crc32("entity_id") % 4 == 0).drop("t").persist()
+    left = of_source(copies, 1).select(F.col("entity_id").alias("s1_id"), "k", "mark", "val")
+    right = of_source(copies, 2, 3).select(F.col("entity_id").alias("candidate_id"), "k", "mark")
+    records = [of_source(copies.drop("k", "mark", "val"), i) for i in (1, 2, 3)]
+    tables = features.class_tables(left, right, ["k"], *records, 1000, "mark", "val")
+    monkeypatch.setattr(boost, "SHARE", 1.0)
+    used = []
+    monkeypatch.setattr(boost, "_scorer", lambda *a, real=boost._scorer: used.append(a) or real(*a))
+    got = boost.fit_and_score(tables, rounds=4, depth=2).toPandas().set_index(["s1_id", "candidate_id"]).sort_index()
+    (n_names, a_names, bounds, trees), order = used[0], ["s1_id", "candidate_id"]
+    joined = left.join(right.withColumnRenamed("mark", "other"), ["k"]).select(*order, "val", F.coalesce(F.col("mark") == F.col("other"), F.lit(False)).cast("int").alias("label"))
+    rows = features.build_feature_matrix(joined, *records).join(joined, order).toPandas().set_index(order).sort_index()
+    bins = [np.searchsorted(b, rows[c].to_numpy(float)) for b, c in zip(bounds, [*n_names, *a_names, *boost.JOINT], strict=True)]
+    val, y, train = rows.val.to_numpy(bool), rows.label.to_numpy() * 2.0 - 1, ~rows.val.to_numpy(bool)
+    assert len(got) == val.sum() > 1000 and got.index.equals(rows.index[val]) and (got.label == rows.label[val]).all() and 0 < got.label.mean() < 1
+    known = np.zeros(len(rows))
+    for m, tree in enumerate(trees):
+        rest = 4 * y / (1 + np.exp(2 * y * known)) if m else y
+        at = boost._walk(tree, lambda f, here: bins[f][here], len(rows))
+        assert tree["splits"] and tree["values"][1] == pytest.approx(rest[train].mean())
+        for node in set(at.tolist()):
+            assert tree["values"][node] == pytest.approx(rest[train & (at == node)].mean())
+        known += tree["weight"] * np.array([tree["values"][k] for k in at.tolist()])
+    assert np.allclose(got.score, 1 / (1 + np.exp(-2 * known[val])))
+    assert got.score[got.label == 1].mean() > got.score[got.label == 0].mean() + 0.1
