@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinfold.functions import similarity as sim
-from kinfold.operators import blocking, features, learn, metrics, pairs, sampling
+from kinfold.operators import blocking, features, learn, metrics, normalize, pairs, sampling
 from kinfold.operators.normalize import preprocess_source
 from kinfold.plans.queries import QUERIES
 from kinfold.plans.views import of_source
@@ -327,6 +327,33 @@ def test_candidates_of_a_query_have_no_cap(spark, processed):
     assert run(None) == 1200 and run(500) == 1000
 
 
+@pytest.mark.parametrize("joined", [False, True])
+def test_candidates_are_dealt_by_their_number(spark, monkeypatch, joined):
+    """Few classes make many pairs: no task writes them all out, and each is written once, from cells or from joined lists."""
+    for name, n in (("CHUNK", 7), ("CYCLE", 4), ("FEW", 500), ("CELLS", 2000)):
+        monkeypatch.setattr(blocking, name, n, raising=False)
+    if joined:
+        monkeypatch.setattr(blocking, "_grid", lambda *_: (10**6, 10**6), raising=False)
+    rows = [(f"S{1 + i % 3}-{i}-{k}", f"name{i % 5}", f"city{i % 7 % 4}", ["x|", "y|z", None][i % 11 % 3]) for i in range(60) for k in range(12)]
+    e = spark.createDataFrame([*rows, *rows[:3]], "entity_id string, name_nospace string, bk_country_city string, name_sorted string")
+    out = blocking.generate_candidates(*[of_source(e, k) for k in (1, 2, 3)], lsh_threshold=1.0, lsh_cap=None)
+    per_task = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    got = [tuple(r) for r in out.collect()]
+    ok = lambda x, y: x == y and len(x or "") > 2
+    want = {(a[0], b[0], b[0][:2]) for a in rows for b in rows if a[0] < "S2" <= b[0] and (a[1] == b[1] or any(ok(x, y) for x, y in zip(a[2:], b[2:], strict=True)))}
+    assert len(got) == len(set(got)) and set(got) == want
+    assert 2 * max(per_task) < len(want)
+
+
+def test_keys_of_source_are_those_of_all_columns(spark):
+    """Each name and each address is normalised once; keys are those of processed records, nulls included."""
+    rows = [*ROWS, ("S2-009", None, "1 A St", None), ("S3-009", None, None, "US"), ("S2-010", "", "", ""), *[(f"S3-1{i}", *ROWS[i % 3][1:3], ROWS[i % 2][3]) for i in range(9)], ROWS[0]]
+    e = spark.createDataFrame(rows, SCHEMA)
+    got = normalize.keys_of_source(e)
+    want = preprocess_source(e).select(*got.columns)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) and got.count() == len(rows)
+
+
 def test_features_of_join_by_classes_equal_those_by_pairs(spark, sf, monkeypatch):
     """Records that repeat in names and addresses are put together from classes; the rows are those of the plain join."""
     from kinfold.plans import queries
